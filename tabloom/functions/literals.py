@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from tabloom.functions.text import number_text
+from tabloom.functions.text import CURRENCY_SIGNS, number_text
 
 # Month names, long and short.
 LONG_MONTHS = [
@@ -22,14 +22,32 @@ SHORT_MONTHS = [m[:3] for m in LONG_MONTHS]
 VARCHAR_BYTES = 512
 
 # Rejects most plain text before the costlier expressions run.
-_NUMBER_START = r"^[$€£¥₹,+-]*[0-9.iInN]"
 _MOMENT_START = r"^(?:[0-9]{1,4}[-/]|[A-Za-z]{3})"
 
-_DIGITS = "[0-9](?:_?[0-9])*"
-_HEX = "[0-9a-fA-F](?:_?[0-9a-fA-F])*"
-_DECIMAL_FLOAT = rf"^[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?\z"
-_HEX_FLOAT = rf"^[+-]?0[xX](?:_?{_HEX}(?:\.(?:{_HEX})?)?|\.{_HEX})[pP][+-]?{_DIGITS}\z"
-_SPELLED_FLOAT = r"(?i)^(?:[+-]?inf(?:inity)?|nan)\z"
+# Number patterns match the text as written: a currency sign of each kind in
+# front, a percent sign behind, one extra plus, and commas anywhere between.
+_C = ",*+"
+
+
+def _spaced(word: str) -> str:
+    return "".join(ch + _C for ch in word)
+
+
+def _digits(one: str) -> str:
+    return f"{one}(?:{_C}(?:_{_C})?{one})*+{_C}"
+
+
+_DEC, _HEX = _digits("[0-9]"), _digits("[0-9a-fA-F]")
+_FRONT = "^" + "".join(("\\" if s == "$" else "") + s + "?" for s in CURRENCY_SIGNS) + rf"{_C}(?:\+{_C})?"
+_SIGN = f"(?:[+-]{_C})?"
+_DECIMAL = rf"(?:{_DEC}(?:\.{_C}(?:{_DEC})?)?|\.{_C}{_DEC})(?:[eE]{_C}{_SIGN}{_DEC})?"
+_HEXADECIMAL = rf"0{_C}[xX]{_C}(?:(?:_{_C})?{_HEX}(?:\.{_C}(?:{_HEX})?)?|\.{_C}{_HEX})[pP]{_C}{_SIGN}{_DEC}"
+_SPELLED = f"(?i:{_SIGN}{_spaced('inf')}(?:{_spaced('inity')})?|{_spaced('nan')})"
+
+_INT = rf"{_FRONT}{_SIGN}[0-9][0-9,]*+%?\z"
+_FLOAT = rf"{_FRONT}(?:{_SIGN}(?:{_DECIMAL}|{_HEXADECIMAL})|{_SPELLED})%?\z"
+_SPELLED_FLOAT = rf"{_FRONT}{_SPELLED}%?\z"
+_PLAIN_INT = r"^-?[0-9]+\z"
 
 _CLOCK = "([0-9]{1,2}:[0-9]{2}:[0-9]{2}(?:[.,][0-9]+)?)"
 _ISO_DAY = "([0-9]{4}-[0-9]{2}-[0-9]{2})"
@@ -49,21 +67,18 @@ _DATE_NAMED = rf"^(?i:(?:{'|'.join(LONG_MONTHS)})|(?:{'|'.join(SHORT_MONTHS)})\.
 
 def parse_int(c: Column) -> Column:
     """Decorated integer text to BIGINT; out of range is NULL."""
-    text = number_text(c)
-    return F.when(c.rlike(_NUMBER_START) & text.rlike(r"^[+-]?[0-9]+\z"), text.try_cast("bigint"))
+    return F.when(c.rlike(_PLAIN_INT), c.try_cast("bigint")).when(c.rlike(_INT), number_text(c).try_cast("bigint"))
+
+
+def _may_overflow(c: Column) -> Column:
+    return c.rlike("[eEpP]") | (F.length(c) > 300)
 
 
 def parse_float(c: Column) -> Column:
     """Decorated decimal, exponent, hexadecimal, ``inf`` or ``nan`` text to DOUBLE."""
-    text = number_text(c)
-    value = F.replace(text, F.lit("_"), F.lit("")).try_cast("double")
-    finite = F.when(F.abs(value) < F.lit(float("inf")), value)
-    return F.when(
-        c.rlike(_NUMBER_START),
-        F.when(text.rlike(_DECIMAL_FLOAT), finite)
-        .when(text.rlike(_HEX_FLOAT), finite)
-        .when(text.rlike(_SPELLED_FLOAT), text.try_cast("double")),
-    )
+    value = F.replace(number_text(c), F.lit("_"), F.lit("")).try_cast("double")
+    in_range = F.when((F.abs(value) < F.lit(float("inf"))) | c.rlike(_SPELLED_FLOAT), value)
+    return F.when(c.rlike(_FLOAT), F.when(_may_overflow(c), in_range).otherwise(value))
 
 
 def _month_number(name: Column) -> Column:
@@ -120,11 +135,12 @@ def parse_date(c: Column) -> Column:
 
 
 def is_int(c: Column) -> Column:
-    return parse_int(c).isNotNull()
+    """Up to 18 characters always fit BIGINT, so only longer ones are parsed."""
+    return c.rlike(_INT) & ((F.length(c) <= 18) | parse_int(c).isNotNull())
 
 
 def is_float(c: Column) -> Column:
-    return parse_float(c).isNotNull()
+    return c.rlike(_FLOAT) & (~_may_overflow(c) | parse_float(c).isNotNull())
 
 
 def is_timestamp(c: Column) -> Column:

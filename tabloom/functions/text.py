@@ -10,22 +10,26 @@ NULL_TOKENS = ["—", "–", "-", "N/A", "n/a", "NA", "?"]
 # Currency signs, in the order in which they are stripped.
 CURRENCY_SIGNS = ["$", "€", "£", "¥", "₹"]
 
-_SPACE = r"\p{IsWhite_Space}"
+# The characters with the Unicode property White_Space.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip_footnotes(c: Column) -> Column:
-    """Delete every ``[...]`` marker."""
-    return F.regexp_replace(c, r"\[[^\]]*\]", "")
+    """Delete every ``[...]`` marker; text without a bracket skips the pattern."""
+    return F.when(F.contains(c, F.lit("[")), F.regexp_replace(c, r"\[[^\]]*\]", "")).otherwise(c)
 
 
 def unicode_trim(c: Column) -> Column:
     """Trim all Unicode white space; ``trim`` alone only knows U+0020."""
-    return F.regexp_replace(c, rf"^{_SPACE}+|{_SPACE}+\z", "")
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def split_words(c: Column) -> Column:
     """Split on Unicode white space."""
-    return F.split(c, rf"{_SPACE}+")
+    return F.split(c, r"\p{IsWhite_Space}+")
 
 
 def null_tokens(c: Column) -> Column:

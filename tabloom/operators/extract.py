@@ -57,8 +57,10 @@ def span_value(attr: Column, limit: int | None = None) -> Column:
     span = F.coalesce(F.when(valid & (number > 0), number), F.lit(1))
     if limit is not None:
         span = F.least(span, F.lit(limit))
-    plain = attr.isNull() | (attr == "1")
-    return F.when(plain, F.lit(1)).otherwise(span).cast("int")
+    plain = attr.cast("bigint") if limit is None else F.least(attr.cast("bigint"), F.lit(limit))
+    return (
+        F.when(attr.isNull() | (attr == "1"), F.lit(1)).when(attr.rlike(r"^[1-9][0-9]{0,8}\z"), plain).otherwise(span)
+    ).cast("int")
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
