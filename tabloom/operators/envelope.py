@@ -106,7 +106,7 @@ def group_statistics(decoded: DataFrame) -> DataFrame:
 
 
 def first_schemas(decoded: DataFrame) -> DataFrame:
-    """``table_name, columns, position``: the schema of each table's earliest message.
+    """``table_name, columns, position, n_schemas``: the schema of each table's earliest message.
 
     The first step keeps one number per (table, schema, partition) and combines
     before the shuffle; the second compares those few rows.
@@ -117,4 +117,5 @@ def first_schemas(decoded: DataFrame) -> DataFrame:
     return earliest.groupBy("table_name").agg(
         F.min_by("columns", F.struct("partition", "offset")).alias("columns"),
         F.min(F.struct("partition", "offset")).alias("position"),
+        F.count_distinct("columns").alias("n_schemas"),
     )

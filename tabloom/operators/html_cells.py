@@ -82,14 +82,16 @@ class _Table:
         self.cell = tag
         if self.rows is not None:
             self.text = []
-            given = _attributes(attrs) if attrs.strip() else {}
+            given = _attributes(attrs) if attrs else {}
             self.rows[-1].append((tag == "th", given.get("colspan"), given.get("rowspan"), self.text))
 
 
 def _flatten(parts: list) -> str:
     """Join nested lists of text; nested tables make them deep, so no recursion."""
-    if all(isinstance(p, str) for p in parts):
+    try:
         return "".join(parts)
+    except TypeError:  # a nested table left lists among the text
+        pass
     out: list[str] = []
     stack = [iter(parts)]
     while stack:
@@ -118,8 +120,6 @@ def scan_tables(page: str) -> list[tuple[str | None, list]]:
         nonlocal after_pre
         if after_pre:
             text, after_pre = text.removeprefix("\n"), False
-        if not text or not stack:
-            return
         top = stack[-1]
         if top.rows is not None or top.cell or top.in_caption or not text.strip(" \t\n\f"):
             target = top.text
@@ -129,25 +129,26 @@ def scan_tables(page: str) -> list[tuple[str | None, list]]:
             target.append(text)
 
     for token in _TOKEN.finditer(page):
-        if stack and token.start() > at:
-            add_text(html.unescape(page[at : token.start()]))
-        at = token.end()
-        raw, tag = token["raw"], token["tag"]
-        if raw:
-            body = token["body"]
-            if raw.lower() == "textarea":
-                body = body.removeprefix("\n")
-            add_text(html.unescape(body) if raw.lower() in ESCAPABLE else body)
-            continue
+        start, stop = token.span()
+        if start > at and stack:
+            text = page[at:start]
+            add_text(html.unescape(text) if "&" in text else text)
+        at = stop
+        raw, body, end, tag, attrs = token.groups()
         if not tag:
+            if raw and stack:
+                raw = raw.lower()
+                if raw == "textarea":
+                    body = body.removeprefix("\n")
+                add_text(html.unescape(body) if raw in ESCAPABLE else body)
             continue
         tag = tag.lower()
         if tag not in _STRUCTURE:
-            after_pre = bool(stack) and not token["end"] and tag in ("pre", "listing")
+            after_pre = not end and bool(stack) and tag in ("pre", "listing")
             continue
         after_pre = False
         top = stack[-1] if stack else None
-        if token["end"]:
+        if end:
             if top is None:
                 continue
             if tag == "table":
@@ -168,7 +169,7 @@ def scan_tables(page: str) -> list[tuple[str | None, list]]:
                 stack.pop()  # a table cannot sit between cells: it ends the open one
             if not stack:
                 rows: list = []
-                tables.append((_attributes(token["attrs"]).get("class"), rows))
+                tables.append((_attributes(attrs).get("class"), rows))
                 stack.append(_Table(rows, None, None))
             elif stack[-1].rows is not None and not stack[-1].cell:
                 stack.append(_Table(stack[-1].rows, None, None))
@@ -181,7 +182,7 @@ def scan_tables(page: str) -> list[tuple[str | None, list]]:
         elif top is None:
             continue
         elif tag in ("td", "th"):
-            top.open_cell(tag, token["attrs"])
+            top.open_cell(tag, attrs)
         elif tag == "tr":
             top.open_row()
         else:

@@ -10,7 +10,7 @@ from urllib.parse import quote
 from pyspark.sql import DataFrame, Observation, Row, functions as F
 
 from tabloom.functions.canonical import row_hash
-from tabloom.operators.dedupe import assign_ids, skip_existing
+from tabloom.operators.dedupe import assign_ids, dedupe_batch, skip_existing
 from tabloom.operators.envelope import decode_messages, first_schemas, malformed, well_formed
 from tabloom.operators.load import judge_rows, typed_columns
 from tabloom.sources.tables import TableStore
@@ -30,14 +30,20 @@ TABLES_PER_ROUND = 500
 
 
 def hashed_records(decoded: DataFrame) -> DataFrame:
-    """One row per distinct (table, record) with its hash, earliest position and number of copies."""
-    hashed = decoded.withColumn("table_name", F.col("schema.table_name")).withColumn("_row_hash", row_hash(F.col("record")))
-    place = F.struct("partition", "offset")
-    first = F.struct("record", F.col("schema.columns").alias("columns"), "partition", "offset")
+    """One row per distinct (table, record, schema) with hash, earliest position and number of copies.
+
+    The schema is part of the key because a copy that names unknown columns is
+    turned away without taking a good copy of the same record with it.
+    """
+    hashed = decoded.select(
+        F.col("schema.table_name").alias("table_name"), row_hash(F.col("record")).alias("_row_hash"),
+        F.col("schema.columns").alias("columns"), "record", "partition", "offset",
+    )
+    first = F.min_by(F.struct("record", "partition", "offset"), F.struct("partition", "offset"))
     return (
-        hashed.groupBy("table_name", "_row_hash")
-        .agg(F.min_by(first, place).alias("_first"), F.count(F.lit(1)).alias("copies"))
-        .select("table_name", "_row_hash", "_first.*", "copies")
+        hashed.groupBy("table_name", "_row_hash", "columns")
+        .agg(first.alias("_first"), F.count(F.lit(1)).alias("copies"))
+        .select("table_name", "_row_hash", "columns", "_first.*", "copies")
     )
 
 
@@ -54,12 +60,12 @@ def stage_batch(decoded: DataFrame, path: str) -> DataFrame:
 
 
 def batch_tables(staged: DataFrame) -> DataFrame:
-    """Per table of a staged batch: first schema, distinct records and messages received."""
+    """Per table of a staged batch: first schema, number of schemas, distinct records, messages received."""
     first = first_schemas(staged.withColumn("schema", F.struct("table_name", "columns")))
     sizes = staged.groupBy("table_name").agg(
         F.count(F.lit(1)).alias("n_records"), F.sum("copies").cast("bigint").alias("received")
     )
-    return first.join(sizes, "table_name").select("table_name", "columns", "n_records", "received")
+    return first.join(sizes, "table_name").select("table_name", "columns", "n_schemas", "n_records", "received")
 
 
 def load_table(store: TableStore, staged: DataFrame, table: Row, batch_id: int) -> tuple:
@@ -71,8 +77,10 @@ def load_table(store: TableStore, staged: DataFrame, table: Row, batch_id: int)
     name = table["table_name"]
     columns = store.ensure(name, [(c["name"], c["type"]) for c in table["columns"]])
     judged = judge_rows(staged.filter(F.col("table_name") == name), columns)
-    target = store.read(name)
-    fresh = skip_existing(judged.filter(F.col("reason").isNull()), target, ["_row_hash"], table["n_records"])
+    storable = judged.filter(F.col("reason").isNull())
+    if table["n_schemas"] > 1:
+        storable = dedupe_batch(storable, ["_row_hash"])
+    fresh = skip_existing(storable, store.read(name), ["_row_hash"], table["n_records"])
     numbered = assign_ids(fresh, ["table_name"], store.max_id(name))
     appended = Observation()
     rows = numbered.select("_id", "_row_hash", *typed_columns(F.col("record"), columns)).observe(

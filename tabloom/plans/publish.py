@@ -14,8 +14,13 @@ CSS_CLASS = "wikitable"
 TABLE_NAME = "html_data"
 
 
+def place_by_page(tables: DataFrame) -> DataFrame:
+    """The one shuffle of extracted tables. What follows is grouped by page and needs no other."""
+    return tables.filter(F.col("page_id").isNotNull()).repartition("page_id")
+
+
 def infer_schemas(tables: DataFrame) -> DataFrame:
-    """``page_id, n_rows, columns`` of extracted tables; each page's table has its own schema."""
+    """``page_id, n_rows, columns`` of placed tables; each page's table has its own schema."""
     types = infer_types(data_cells(data_rows(tables)), ["page_id", "col_idx"])
     names = name_columns(tables.withColumn("n_rows", F.size("rows")), ["page_id", "n_rows"])
     return table_schemas(names, types, ["page_id"], F.max("n_rows").alias("n_rows"))
@@ -28,7 +33,7 @@ def records_with_schema(tables: DataFrame, table_name: Column | str = TABLE_NAME
     columns of that one exchange, so Spark runs the extraction below it once.
     """
     name = F.lit(table_name) if isinstance(table_name, str) else table_name
-    placed = tables.filter(F.col("page_id").isNotNull()).repartition("page_id")
+    placed = place_by_page(tables)
     schema = F.struct(sanitise_name(name).alias("table_name"), F.col("columns").alias("columns"))
     described = (
         infer_schemas(placed)

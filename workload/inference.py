@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tabloom.operators import ddl, envelope, infer
+from tabloom.operators import ddl, infer
 from tabloom.operators.extract import extract_tables
-from tabloom.plans.publish import infer_schemas
+from tabloom.plans.publish import infer_schemas, place_by_page
 from tabloom.functions.text import clean_value
 from workload import fixtures
 from workload.base import Tables, query, sql_fold, sql_kinds
@@ -87,12 +87,12 @@ _COLUMN_VALUES = ", ".join(f"({i}, '{n}', '{d}')" for i, (n, d) in enumerate(ORD
     f"(VALUES {_COLUMN_VALUES}) c(pos, name, type)",
 )
 def infer_schema(t: Tables) -> DataFrame:
-    schemas = infer_schemas(extract_tables(fixtures.orders_pages(t), "wikitable"))
+    schemas = infer_schemas(place_by_page(extract_tables(fixtures.orders_pages(t), "wikitable")))
     return schemas.select("page_id", F.posexplode("columns").alias("pos", "c")).select("page_id", "pos", "c.name", "c.type")
 
 
 def _ddl(t: Tables, dialect: str) -> DataFrame:
-    schemas = infer_schemas(extract_tables(fixtures.orders_pages(t), "wikitable"))
+    schemas = infer_schemas(place_by_page(extract_tables(fixtures.orders_pages(t), "wikitable")))
     name = F.concat(F.lit("orders_"), F.col("page_id").cast("string"))
     return schemas.select("page_id", ddl.create_table_sql(name, F.col("columns"), dialect).alias("ddl"))
 
