@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tabloom.functions.canonical import canonical_json, json_string
 from tabloom.functions.text import clean_value, empty_to_null
+from tabloom.operators.once import evaluate_once
 
 SCHEMA_DDL = "struct<table_name string, columns array<struct<name string, type string>>>"
 _LOOSE_SCHEMA_DDL = "struct<table_name variant, columns array<struct<name variant, type variant>>>"
@@ -74,12 +75,12 @@ def decode_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     judged = opened.withColumn("reason", reason)
     ok = F.col("reason").isNull()
     record = F.transform_values("_record", lambda k, v: F.coalesce(F.try_variant_get(v, "$", "string"), F.lit("")))
-    return judged.withColumns(
-        {
-            "schema": F.when(ok, F.try_variant_get("_v", "$[0].schema", SCHEMA_DDL)),
-            "record": F.when(ok, record),
-        }
-    ).drop("_v", "_schema", "_record")
+    decoded = {
+        "reason": F.col("reason"),
+        "schema": F.when(ok, F.try_variant_get("_v", "$[0].schema", SCHEMA_DDL)),
+        "record": F.when(ok, record),
+    }
+    return evaluate_once(judged, decoded).drop("_v", "_schema", "_record")
 
 
 def malformed(decoded: DataFrame) -> DataFrame:

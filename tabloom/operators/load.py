@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabloom.functions.literals import fits, load_value
+from tabloom.operators.once import evaluate_once
 
 Columns = list[tuple[str, str]]
 
@@ -29,15 +30,16 @@ def typed_columns(record: Column, columns: Columns) -> list[Column]:
     ]
 
 
-def bad_cells(record: Column, columns: Columns, enforce_length: bool = False) -> Column:
+def bad_cells(record: Column, columns: Columns, typed: Column | None = None, enforce_length: bool = False) -> Column:
     """``array<struct<column, value>>`` of the non-empty values their column cannot store.
 
+    ``typed`` is a struct of the columns' values when they are at hand already.
     ``enforce_length`` also lists text too long for VARCHAR(512), for databases that mind.
     """
     checks = []
     for name, declared in columns:
         value = F.try_element_at(record, F.lit(name))
-        ok = load_value(value, declared).isNotNull()
+        ok = (load_value(value, declared) if typed is None else typed[name]).isNotNull()
         if enforce_length and declared == "VARCHAR(512)":
             ok = F.length(value) <= VARCHAR_CHARS
         checks.append(F.when((value != "") & ~ok, F.struct(F.lit(name).alias("column"), value.alias("value"))))
@@ -63,16 +65,24 @@ def unknown_columns(message_columns: Column, stored: list[str]) -> Column:
 
 
 def judge_rows(batch: DataFrame, columns: Columns, enforce_length: bool = False) -> DataFrame:
-    """Add ``reason`` and ``detail``: why a row cannot go into a table with these columns, else NULL.
+    """Add ``typed``, ``reason`` and ``detail``: the values, and why a row cannot be stored, else NULL.
 
     ``batch`` holds ``record`` and the message's ``columns``.
     """
-    extra = unknown_columns(F.col("columns"), [n for n, _ in columns])
-    bad = bad_cells(F.col("record"), columns, enforce_length)
-    return batch.withColumn("_extra", extra).withColumn("_bad", bad).select(
-        *batch.columns,
-        F.when(F.size("_extra") > 0, F.lit("unknown_column"))
-        .when(F.size("_bad") > 0, F.lit("bad_value")).alias("reason"),
-        F.when(F.size("_extra") > 0, F.to_json("_extra"))
-        .when(F.size("_bad") > 0, F.to_json("_bad")).alias("detail"),
+    staged = batch.withColumn("typed", F.struct(*typed_columns(F.col("record"), columns))).withColumns(
+        {
+            "_extra": unknown_columns(F.col("columns"), [n for n, _ in columns]),
+            "_bad": bad_cells(F.col("record"), columns, F.col("typed"), enforce_length),
+        }
     )
+    judged = {
+        "typed": F.col("typed"),
+        "reason": F.when(F.size("_extra") > 0, F.lit("unknown_column")).when(F.size("_bad") > 0, F.lit("bad_value")),
+        "detail": F.when(F.size("_extra") > 0, F.to_json("_extra")).when(F.size("_bad") > 0, F.to_json("_bad")),
+    }
+    return evaluate_once(staged, judged).drop("_extra", "_bad")
+
+
+def unpack_typed(columns: Columns) -> list[Column]:
+    """The fields of ``typed`` as columns."""
+    return [F.col("typed")[name].alias(name, metadata={"declared": declared}) for name, declared in columns]

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation, Row, functions as F
 from tabloom.functions.canonical import row_hash
 from tabloom.operators.dedupe import assign_ids, dedupe_batch, skip_existing
 from tabloom.operators.envelope import decode_messages, first_schemas, malformed, well_formed
-from tabloom.operators.load import judge_rows, typed_columns
+from tabloom.operators.load import judge_rows, unpack_typed
 from tabloom.sources.tables import TableStore
 from tabloom.sources.topic import with_positions
 
@@ -83,7 +83,7 @@ def load_table(store: TableStore, staged: DataFrame, table: Row, batch_id: int)
     fresh = skip_existing(storable, store.read(name), ["_row_hash"], table["n_records"])
     numbered = assign_ids(fresh, ["table_name"], store.max_id(name))
     appended = Observation()
-    rows = numbered.select("_id", "_row_hash", *typed_columns(F.col("record"), columns)).observe(
+    rows = numbered.select("_id", "_row_hash", *unpack_typed(columns)).observe(
         appended, F.count(F.lit(1)).alias("n")
     )
     store.append(name, rows)

@@ -11,3 +11,13 @@ def scan_pages(spark: SparkSession, path: str, fmt: str = "parquet", **options:
     if "status" in pages.columns:
         pages = pages.filter(F.col("status") == 200)
     return pages
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan with fewer splits than cores one split per core.
+
+    Parsing text is work for the processor, so a few large row groups would keep
+    most cores idle. A scan that is already wide enough is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

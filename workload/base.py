@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabloom.session import configure
+from tabloom.sources.pages import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,7 +23,7 @@ class Tables:
         self.sf_dir = sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return spread(self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
 
 
 def query(name: str, oracle: str | None = None) -> Callable:

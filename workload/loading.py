@@ -107,7 +107,10 @@ def dedupe_batch(t: Tables) -> DataFrame:
 
 def _append(t: Tables, known_size: bool) -> DataFrame:
     keys = ["table_name", "_row_hash"]
-    hashed = hashed_events(t).select(*keys, "partition")
+    # Decoded once into the shared folder; the batch and the target both read it there.
+    path = work_dir(t.spark, "hashed")
+    hashed_events(t).select(*keys, "partition").write.parquet(path)
+    hashed = t.spark.read.parquet(path)
     target = dedupe.dedupe_batch(hashed.filter("partition < 4"), keys)
     batch = dedupe.dedupe_batch(hashed, keys)
     rows = batch.count() if known_size else None
