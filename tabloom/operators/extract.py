@@ -71,7 +71,7 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 def parse_pages(pages: DataFrame, max_bytes: int = MAX_PAGE_BYTES) -> DataFrame:
     """``(page_id, html)`` to ``(page_id, tables)``, one row per page.
 
-    Pages without any ``<table`` never leave the JVM: their ``tables`` is NULL.
+    The text of pages without any ``<table`` never leaves the JVM: their list is empty.
     """
     body = cap_body(F.col("html"), max_bytes)
     candidate = F.when(F.col("html").rlike("(?i)<table"), body)
@@ -213,7 +213,7 @@ def data_cells(rows: DataFrame) -> DataFrame:
 
 def extract_rejects(parsed: DataFrame, css_class: str | None = None, table_index: int = 0) -> DataFrame:
     """Pages that give no table, with the reason."""
-    none = parsed.filter(F.coalesce(F.size("tables"), F.lit(0)) <= 0).select("page_id", F.lit("no_table").alias("reason"))
+    none = parsed.filter(F.size("tables") == 0).select("page_id", F.lit("no_table").alias("reason"))
     chosen = select_table(parsed, css_class, table_index)
     empty = chosen.filter(~F.exists("rows", lambda r: F.size(r) > 0)).select(
         "page_id", F.when(F.size("rows") == 0, F.lit("no_rows")).otherwise(F.lit("no_header")).alias("reason")
