@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from tabloom.functions.text import CURRENCY_SIGNS, number_text
+from tabloom.functions.text import CURRENCY_SIGNS
 
 # Month names, long and short.
 LONG_MONTHS = [
@@ -47,27 +47,31 @@ _SPELLED = f"(?i:{_SIGN}{_spaced('inf')}(?:{_spaced('inity')})?|{_spaced('nan')}
 _INT = rf"{_FRONT}{_SIGN}[0-9][0-9,]*+%?\z"
 _FLOAT = rf"{_FRONT}(?:{_SIGN}(?:{_DECIMAL}|{_HEXADECIMAL})|{_SPELLED})%?\z"
 _SPELLED_FLOAT = rf"{_FRONT}{_SPELLED}%?\z"
-_PLAIN_INT = r"^-?[0-9]+\z"
 
 _CLOCK = "([0-9]{1,2}:[0-9]{2}:[0-9]{2}(?:[.,][0-9]+)?)"
 _ISO_DAY = "([0-9]{4}-[0-9]{2}-[0-9]{2})"
-_SHORT = f"(?i:({'|'.join(SHORT_MONTHS)}))"
+_OFFSET = "([+-][0-9]{2}:[0-9]{2})"
 _MONTH_DAY_YEAR = " +([0-9]{1,2}), +([0-9]{4})"
 
-_TS_SPACE = rf"^{_ISO_DAY} +{_CLOCK}\z"
-_TS_T = rf"^{_ISO_DAY}T{_CLOCK}(Z|[+-][0-9]{{2}}:[0-9]{{2}})?\z"
-_TS_SLASH = rf"^([0-9]{{2}})/([0-9]{{2}})/([0-9]{{4}}) +{_CLOCK}\z"
-_TS_NAMED = rf"^{_SHORT}{_MONTH_DAY_YEAR} +{_CLOCK}\z"
-
-_DATE_ISO = rf"^{_ISO_DAY}\z"
-_DATE_SLASH = r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})\z"
-_DATE_SLASH_PADDED = r"^[0-9]{2}/[0-9]{2}/[0-9]{4}\z"
-_DATE_NAMED = rf"^(?i:(?:{'|'.join(LONG_MONTHS)})|(?:{'|'.join(SHORT_MONTHS)})\.?){_MONTH_DAY_YEAR}\z"
+# Each layout with the text it is rewritten to; "@" stands for the month number.
+_TS_LAYOUTS = [
+    (rf"^{_ISO_DAY}(?: +{_CLOCK}|T{_CLOCK}(?:Z|{_OFFSET})?)\z", "$1 $2$3"),
+    (rf"^([0-9]{{2}})/([0-9]{{2}})/([0-9]{{4}}) +{_CLOCK}\z", "$3-$1-$2 $4"),
+    (rf"^(?i:{'|'.join(SHORT_MONTHS)}){_MONTH_DAY_YEAR} +{_CLOCK}\z", "$2-@-$1 $3"),
+]
+# Month first where the first number can be a padded month: the second number
+# could not be one then, or both readings are valid and month-first wins.
+_DATE_LAYOUTS = [
+    (rf"^{_ISO_DAY}\z", "$1"),
+    (r"^(0[1-9]|1[0-2])/([0-9]{2})/([0-9]{4})\z", "$3-$1-$2"),
+    (r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})\z", "$3-$2-$1"),
+    (rf"^(?i:{'|'.join(LONG_MONTHS)}|(?:{'|'.join(SHORT_MONTHS)})\.?){_MONTH_DAY_YEAR}\z", "$2-@-$1"),
+]
 
 
 def parse_int(c: Column) -> Column:
     """Decorated integer text to BIGINT; out of range is NULL."""
-    return F.when(c.rlike(_PLAIN_INT), c.try_cast("bigint")).when(c.rlike(_INT), number_text(c).try_cast("bigint"))
+    return F.when(c.rlike(_INT), F.regexp_replace(c, "[^0-9-]", "").try_cast("bigint"))
 
 
 def _may_overflow(c: Column) -> Column:
@@ -75,63 +79,46 @@ def _may_overflow(c: Column) -> Column:
 
 
 def parse_float(c: Column) -> Column:
-    """Decorated decimal, exponent, hexadecimal, ``inf`` or ``nan`` text to DOUBLE."""
-    value = F.replace(number_text(c), F.lit("_"), F.lit("")).try_cast("double")
+    """Decorated decimal, exponent, hexadecimal, ``inf`` or ``nan`` text to DOUBLE.
+
+    A plus sign never changes the value, so all of them go with the decoration.
+    """
+    value = F.regexp_replace(c, f"[{''.join(CURRENCY_SIGNS)},_%+]", "").try_cast("double")
     in_range = F.when((F.abs(value) < F.lit(float("inf"))) | c.rlike(_SPELLED_FLOAT), value)
     return F.when(c.rlike(_FLOAT), F.when(_may_overflow(c), in_range).otherwise(value))
 
 
-def _month_number(name: Column) -> Column:
-    table = F.create_map(*[F.lit(x) for i, m in enumerate(SHORT_MONTHS, 1) for x in (m.lower(), f"{i:02d}")])
-    return F.element_at(table, F.lower(F.substring(name, 1, 3)))
-
-
-def _utc(text: Column) -> Column:
-    """ISO-like text to an instant, whatever the session zone is."""
-    return F.concat(F.translate(text, ",", "."), F.lit("Z")).try_cast("timestamp")
+def _rewrite(c: Column, layouts: list[tuple[str, str]]) -> Column:
+    """Text in one of the layouts as numbers in ISO order, else NULL; one cast then reads them all."""
+    month = F.element_at(
+        F.create_map(*[F.lit(x) for i, m in enumerate(SHORT_MONTHS, 1) for x in (m.lower(), f"{i:02d}")]),
+        F.lower(F.substring(c, 1, 3)),
+    )
+    out = None
+    for pattern, target in layouts:
+        text = F.regexp_replace(c, pattern, target)
+        if "@" in target:
+            text = F.replace(text, F.lit("@"), month)
+        out = F.when(c.rlike(pattern), text) if out is None else out.when(c.rlike(pattern), text)
+    return F.when(c.rlike(_MOMENT_START), out)
 
 
 def parse_timestamp(c: Column) -> Column:
-    """Text in one of the six timestamp layouts to an instant (UTC when no offset is given)."""
-    offset = F.regexp_extract(c, _TS_T, 3)
-    hours = F.substring(offset, 2, 2).try_cast("int")
-    minutes = F.substring(offset, 5, 2).try_cast("int")
-    seconds = F.when(offset.isin("", "Z"), F.lit(0)).when(
-        (hours <= 24) & (minutes <= 60),
-        F.when(offset.startswith("-"), F.lit(-1)).otherwise(F.lit(1)) * (hours * 3600 + minutes * 60),
-    )
-    named = F.concat(
-        F.regexp_extract(c, _TS_NAMED, 3), F.lit("-"), _month_number(F.regexp_extract(c, _TS_NAMED, 1)), F.lit("-"),
-        F.regexp_extract(c, _TS_NAMED, 2), F.lit(" "), F.regexp_extract(c, _TS_NAMED, 4),
-    )
-    return F.when(
-        c.rlike(_MOMENT_START),
-        F.when(c.rlike(_TS_SPACE), _utc(F.regexp_replace(c, _TS_SPACE, "$1 $2")))
-        .when(
-            c.rlike(_TS_T),
-            F.timestamp_add("SECOND", -seconds, _utc(F.regexp_replace(c, _TS_T, "$1 $2"))),
-        )
-        .when(c.rlike(_TS_SLASH), _utc(F.regexp_replace(c, _TS_SLASH, "$3-$1-$2 $4")))
-        .when(c.rlike(_TS_NAMED), _utc(named)),
-    )
+    """Text in one of the six timestamp layouts to an instant.
+
+    Without an offset the text is taken as UTC, whatever the session zone is.
+    """
+    offset = F.right(c, F.lit(6))
+    hours, minutes = F.substring(offset, 2, 2).cast("int"), F.substring(offset, 5, 2).cast("int")
+    seconds = F.when((hours <= 24) & (minutes <= 60), hours * 3600 + minutes * 60)
+    shift = F.when(c.rlike(rf"T.*{_OFFSET}\z"), F.when(offset.startswith("-"), seconds).otherwise(-seconds)).otherwise(F.lit(0))
+    local = F.translate(_rewrite(c, _TS_LAYOUTS), ",", ".")
+    return F.timestamp_add("SECOND", shift, F.concat(local, F.lit("Z")).try_cast("timestamp"))
 
 
 def parse_date(c: Column) -> Column:
     """Text in one of the six date layouts to DATE; month-first wins over day-first."""
-    month_first = F.when(
-        c.rlike(_DATE_SLASH_PADDED), F.regexp_replace(c, _DATE_SLASH, "$3-$1-$2").try_cast("date")
-    )
-    day_first = F.regexp_replace(c, _DATE_SLASH, "$3-$2-$1").try_cast("date")
-    named = F.concat(
-        F.regexp_extract(c, _DATE_NAMED, 2), F.lit("-"), _month_number(c), F.lit("-"),
-        F.regexp_extract(c, _DATE_NAMED, 1),
-    )
-    return F.when(
-        c.rlike(_MOMENT_START),
-        F.when(c.rlike(_DATE_ISO), c.try_cast("date"))
-        .when(c.rlike(_DATE_SLASH), F.coalesce(month_first, day_first))
-        .when(c.rlike(_DATE_NAMED), named.try_cast("date")),
-    )
+    return _rewrite(c, _DATE_LAYOUTS).try_cast("date")
 
 
 def is_int(c: Column) -> Column:
@@ -184,7 +171,8 @@ def load_value(c: Column, declared: str) -> Column:
     if declared == "DOUBLE":
         return parse_float(c)
     if declared == "TIMESTAMP":
-        return F.coalesce(parse_timestamp(c), _utc(F.concat(parse_date(c).cast("string"), F.lit(" 00:00:00"))))
+        midnight = F.concat(parse_date(c).cast("string"), F.lit(" 00:00:00Z")).cast("timestamp")
+        return F.coalesce(parse_timestamp(c), midnight)
     if declared == "DATE":
         # Days are taken in UTC, the zone every instant here is written in.
         micros = F.unix_micros(parse_timestamp(c))

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 # A key is at most a table name and a 64-character hash, so this many fit a broadcast.
 BROADCAST_KEYS = 200_000
+# So many hashes sort within one task.
+RANK_IN_ONE_TASK = 200_000
 
 
 def dedupe_batch(batch: DataFrame, keys: list[str]) -> DataFrame:
@@ -29,7 +31,8 @@ def skip_existing(batch: DataFrame, target: DataFrame, keys: list[str], batch_ro
 
 
 def assign_ids(
-    rows: DataFrame, keys: list[str], start: DataFrame | int = 0, row_hash: str = "_row_hash", prefix: int = 3
+    rows: DataFrame, keys: list[str], start: DataFrame | int = 0, row_hash: str = "_row_hash", prefix: int = 3,
+    known_rows: int | None = None,
 ) -> DataFrame:
     """Add ``_id``: per table, ``start`` plus the rank of the row's hash.
 
@@ -37,8 +40,12 @@ def assign_ids(
     uniform, so its first ``prefix`` hex digits cut every table into even slices
     in rank order: slices are counted, their offsets summed over at most
     16**prefix small rows per table, and rows ranked within their slice.
-    ``start`` is a number, or ``keys`` plus ``max_id`` per table.
+    ``start`` is a number, or ``keys`` plus ``max_id`` per table. Rows known to
+    be few are ranked directly, which reads them once instead of twice.
     """
+    if isinstance(start, int) and known_rows is not None and known_rows <= RANK_IN_ONE_TASK:
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(row_hash))
+        return rows.withColumn("_id", (rank + F.lit(start)).cast("bigint"))
     sliced = rows.withColumn("_slice", F.substring(row_hash, 1, prefix))
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

@@ -34,6 +34,20 @@ def encode_message(schema_text: Column, record: Column) -> Column:
     return F.concat(F.lit('{"schema":'), schema_text, F.lit(',"record":'), canonical_json(record), F.lit("}"))
 
 
+def key_order(names: Column) -> Column:
+    """Record keys as JSON text with their column number, in byte order; once per table."""
+    listed = F.array_sort(F.transform(names, lambda n, i: F.struct(n.alias("name"), i.alias("pos"))))
+    return F.transform(
+        listed, lambda k: F.struct(F.concat(json_string(k["name"]), F.lit(":")).alias("text"), k["pos"].alias("pos"))
+    )
+
+
+def encode_row(schema_text: Column, keys: Column, values: Column) -> Column:
+    """The same text as :func:`encode_message` from cleaned cells, without building and sorting a map per row."""
+    pairs = F.transform(keys, lambda k: F.concat(k["text"], json_string(F.get(values, k["pos"]))))
+    return F.concat(F.lit('{"schema":'), schema_text, F.lit(',"record":{'), F.array_join(pairs, ","), F.lit("}}"))
+
+
 def _is_text(v: Column) -> Column:
     return F.schema_of_variant(v) == "STRING"
 

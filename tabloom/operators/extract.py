@@ -129,14 +129,14 @@ def resolve_grid(
     span numbers go through Python, which returns the number of the cell that
     fills each place. The texts stay in the JVM.
     """
-    def spans(c):
-        return F.struct(
-            span_value(c["colspan"], max_colspan).alias("cs"), span_value(c["rowspan"], max_rowspan).alias("rs")
-        )
+    def packed(c):
+        tall = span_value(c["rowspan"], max_rowspan).cast("bigint")
+        return F.shiftleft(tall, 32).bitwiseOR(span_value(c["colspan"], max_colspan).cast("bigint"))
 
     rows = F.col("rows")
-    tall = F.exists(rows, lambda r: F.exists(r, lambda c: span_value(c["rowspan"], max_rowspan) > 1))
-    numbers = F.when(tall, F.transform(rows, lambda r: F.transform(r, spans)))
+    # Without a rowspan attribute other than 1 a table needs no look at the rows above.
+    tall = F.exists(rows, lambda r: F.exists(r, lambda c: c["rowspan"] != "1"))
+    numbers = F.when(tall, F.transform(rows, lambda r: F.transform(r, packed)))
     # Marked nondeterministic so that no filter is pushed below it and runs it twice.
     slots = F.arrow_udf(html_cells.slots_of, "array<array<int>>").asNondeterministic()(numbers)
     flat = F.transform(F.flatten(rows), lambda c: unicode_trim(c["text"]))

@@ -273,9 +273,16 @@ def resolve_slots(rows: list[list[tuple[int, int]]]) -> list[list[int]]:
 
 
 def slots_of(spans: pa.Array) -> pa.Array:
-    """Arrow form of :func:`resolve_slots`; NULL rows (tables without row spans) stay NULL."""
-    out = [
-        None if table is None else resolve_slots([[(c["cs"], c["rs"]) for c in row] for row in table])
-        for table in spans.to_pylist()
-    ]
-    return pa.array(out, pa.list_(pa.list_(pa.int32())))
+    """Arrow form of :func:`resolve_slots`, one table at a time; NULL stays NULL.
+
+    A cell comes as one number, ``rowspan << 32 | colspan``.
+    """
+    line_type = pa.list_(pa.list_(pa.int32()))
+    tables = []
+    for table in spans:
+        if not table.is_valid:
+            tables.append(pa.nulls(1, line_type))
+            continue
+        rows = [[(n & 0xFFFFFFFF, n >> 32) for n in row] for row in table.as_py()]
+        tables.append(pa.array([resolve_slots(rows)], line_type))
+    return pa.concat_arrays(tables) if tables else pa.nulls(0, line_type)

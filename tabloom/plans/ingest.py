@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation, Row, functions as F
 from tabloom.functions.canonical import row_hash
 from tabloom.operators.dedupe import assign_ids, dedupe_batch, skip_existing
 from tabloom.operators.envelope import decode_messages, first_schemas, malformed, well_formed
-from tabloom.operators.load import judge_rows, unpack_typed
+from tabloom.operators.load import judge_rows, unknown_columns, unpack_typed
 from tabloom.sources.tables import TableStore
 from tabloom.sources.topic import with_positions
 
@@ -73,21 +73,39 @@ def load_table(store: TableStore, staged: DataFrame, table: Row, batch_id: int)
 
     The stored schema decides. Records that name unknown columns or hold values
     their column cannot take are rejected with the reason; the rest proceed.
+    Conflicts and ids only need the hash, so they are settled before any value
+    is parsed; a rejected record leaves a gap in the ids.
     """
-    name = table["table_name"]
+    name, n_records = table["table_name"], table["n_records"]
     columns = store.ensure(name, [(c["name"], c["type"]) for c in table["columns"]])
-    judged = judge_rows(staged.filter(F.col("table_name") == name), columns)
+    stored = [n for n, _ in columns]
+    strangers = F.size(unknown_columns(F.col("columns"), stored)) > 0
+    may_have_strangers = table["n_schemas"] > 1 or not {c["name"] for c in table["columns"]} <= set(stored)
+
+    records = staged.filter(F.col("table_name") == name)
+    fresh = records.filter(~strangers) if may_have_strangers else records
+    last_id = store.max_id(name)
+    if last_id:
+        fresh = skip_existing(fresh, store.read(name), ["_row_hash"], n_records)
+    numbered = assign_ids(fresh, ["table_name"], last_id, known_rows=n_records)
+    turned_away, appended = Observation(), Observation()
+    judged = judge_rows(numbered, columns).observe(turned_away, F.count("reason").alias("n"))
     storable = judged.filter(F.col("reason").isNull())
     if table["n_schemas"] > 1:
         storable = dedupe_batch(storable, ["_row_hash"])
-    fresh = skip_existing(storable, store.read(name), ["_row_hash"], table["n_records"])
-    numbered = assign_ids(fresh, ["table_name"], store.max_id(name))
-    appended = Observation()
-    rows = numbered.select("_id", "_row_hash", *unpack_typed(columns)).observe(
-        appended, F.count(F.lit(1)).alias("n")
-    )
-    store.append(name, rows)
-    rejected = Observation()
+    rows = storable.select("_id", "_row_hash", *unpack_typed(columns))
+    store.append(name, rows.observe(appended, F.count(F.lit(1)).alias("n")))
+
+    rejected = 0
+    if may_have_strangers or turned_away.get["n"]:
+        suspects = fresh.unionByName(records.filter(strangers)) if may_have_strangers else fresh
+        rejected = _write_rejects(store, judge_rows(suspects, columns), name, batch_id)
+    return (batch_id, name, table["received"], appended.get["n"], rejected)
+
+
+def _write_rejects(store: TableStore, judged: DataFrame, name: str, batch_id: int) -> int:
+    """Bad records of one table in one batch; a replay of the batch writes the same file again."""
+    count = Observation()
     bad = judged.filter(F.col("reason").isNotNull()).select(
         F.lit("load").alias("stage"),
         F.concat_ws("/", F.col("table_name"), F.col("partition"), F.col("offset")).alias("key"),
@@ -95,10 +113,10 @@ def load_table(store: TableStore, staged: DataFrame, table: Row, batch_id: int)
         F.concat(F.lit('{"detail":'), "detail", F.lit(',"record":'), F.to_json("record"), F.lit("}")).alias("payload"),
         F.lit(batch_id).cast("bigint").alias("batch_id"),
     )
-    bad.observe(rejected, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
+    bad.observe(count, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
         f"{store.root}/rejects/batch={batch_id}/part={quote(name, safe='')}"
     )
-    return (batch_id, name, table["received"], appended.get["n"], rejected.get["n"])
+    return count.get["n"]
 
 
 def _rounds(rows: Iterator[Row]) -> Iterator[list[Row]]:

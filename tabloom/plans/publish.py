@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabloom.functions.names import sanitise_name
-from tabloom.operators.envelope import build_record, encode_message, schema_json
+from tabloom.functions.text import clean_value
+from tabloom.operators.envelope import build_record, encode_row, key_order, schema_json
 from tabloom.operators.extract import data_cells, data_rows, extract_tables
 from tabloom.operators.infer import infer_types, name_columns, table_schemas
 
@@ -26,10 +27,10 @@ def infer_schemas(tables: DataFrame) -> DataFrame:
     return table_schemas(names, types, ["page_id"], F.max("n_rows").alias("n_rows"))
 
 
-def records_with_schema(tables: DataFrame, table_name: Column | str = TABLE_NAME) -> DataFrame:
-    """``page_id, row_idx, schema, schema_text, record`` for every data row.
+def rows_with_schema(tables: DataFrame, table_name: Column | str = TABLE_NAME) -> DataFrame:
+    """``page_id, row_idx, schema, schema_text, keys, cells`` for every data row.
 
-    Tables are shuffled once, by page. Types, names and records all read the same
+    Tables are shuffled once, by page. Types, names and rows all read the same
     columns of that one exchange, so Spark runs the extraction below it once.
     """
     name = F.lit(table_name) if isinstance(table_name, str) else table_name
@@ -39,18 +40,23 @@ def records_with_schema(tables: DataFrame, table_name: Column | str = TABLE_NAME
         infer_schemas(placed)
         .filter(F.col("n_rows") > 0)
         .select("page_id", schema.alias("schema"))
-        .withColumn("schema_text", schema_json(F.col("schema")))
+        .withColumns({"schema_text": schema_json(F.col("schema")), "keys": key_order(F.col("schema.columns.name"))})
     )
     joined = placed.join(described.hint("shuffle_hash"), "page_id")
-    return data_rows(joined, "schema", "schema_text").select(
-        "page_id", "row_idx", "schema", "schema_text",
-        build_record(F.col("schema.columns.name"), F.col("cells")).alias("record"),
-    )
+    return data_rows(joined, "schema", "schema_text", "keys")
+
+
+def records_with_schema(tables: DataFrame, table_name: Column | str = TABLE_NAME) -> DataFrame:
+    """``page_id, row_idx, schema, record`` for every data row."""
+    rows = rows_with_schema(tables, table_name)
+    record = build_record(F.col("schema.columns.name"), F.col("cells"))
+    return rows.select("page_id", "row_idx", "schema", record.alias("record"))
 
 
 def build_messages(
     pages: DataFrame, table_name: Column | str = TABLE_NAME, css_class: str | None = CSS_CLASS, table_index: int = 0
 ) -> DataFrame:
     """Pages to ``(page_id, row_idx, value)``, one JSON message per data row."""
-    records = records_with_schema(extract_tables(pages, css_class, table_index), table_name)
-    return records.select("page_id", "row_idx", encode_message(F.col("schema_text"), F.col("record")).alias("value"))
+    rows = rows_with_schema(extract_tables(pages, css_class, table_index), table_name)
+    cleaned = rows.withColumn("cells", F.transform("cells", clean_value))
+    return cleaned.select("page_id", "row_idx", encode_row(F.col("schema_text"), F.col("keys"), F.col("cells")).alias("value"))

@@ -12,6 +12,9 @@ def configure(spark: SparkSession) -> SparkSession:
     """Pin the settings that results depend on; leave sizing to the cluster."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # The JVM interprets methods above 8000 bytes for ever. Parsing expressions fused
+    # into one stage exceed that; run operator by operator, they are compiled.
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 

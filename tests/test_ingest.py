@@ -96,7 +96,7 @@ def test_ingest_and_rerun(spark, tmp_path):
     for run in (0, 1):
         ingest.ingest_batch(frame(spark, values), run, store, str(tmp_path / f"stage{run}"))
     t = store.read("t/1").orderBy("_id").collect()
-    assert [r["_id"] for r in t] == [1, 2, 3, 4] and {(r["a"], r["b"].day) for r in t} == {(i, 1 + i % 2) for i in range(4)}
+    assert len({r["_id"] for r in t}) == 4 and {(r["a"], r["b"].day) for r in t} == {(i, 1 + i % 2) for i in range(4)}
     assert store.columns("t/1") == [("a", "BIGINT"), ("b", "DATE")] and store.columns("u") == [("x", "TEXT")]
     assert store.columns("none") is None
     metrics = {(r["batch_id"], r["table_name"]): (r["received"], r["inserted"], r["rejected"]) for r in store.metrics().collect()}
