@@ -16,7 +16,10 @@ _PREFIX = '<!DOCTYPE html><html><head><script>var t="<table><tr>"</script></head
 def render(rows: DataFrame, page: str, order: list[str], row_html: str, head: str, tail: str = "'</table></body></html>'") -> DataFrame:
     """One page per value of ``page``; ``head`` and ``tail`` may refer to ``page_id``."""
     body = F.array_sort(F.collect_list(F.struct(*order, F.expr(row_html).alias("html"))))
-    pages = rows.withColumn("page_id", F.expr(page)).groupBy("page_id").agg(body.alias("_rows"))
+    # The cluster's own number of partitions, kept as it is: pages are costly to parse, not large.
+    width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = rows.withColumn("page_id", F.expr(page)).repartition(width, "page_id")
+    pages = placed.groupBy("page_id").agg(body.alias("_rows"))
     text = F.array_join(F.transform("_rows", lambda r: r["html"]), "\n")
     return pages.select(
         "page_id",
