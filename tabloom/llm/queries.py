@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tabloom.llm.fingerprints import fingerprint_documents
+from tabloom.llm.licences import scan_licences
 from tabloom.llm.packing import pack_documents
 from tabloom.llm.token_files import encode_and_read_back
 from tabloom.session import configure
@@ -28,6 +30,16 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_read_back(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licences(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
