@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tabloom.llm.fingerprints import fingerprint_documents
+from tabloom.llm.language import identify_held_out
 from tabloom.llm.licences import scan_licences
 from tabloom.llm.packing import pack_documents
+from tabloom.llm.quality import TOP_GRADE, fit_to_labels, grade_documents
 from tabloom.llm.token_files import encode_and_read_back
 from tabloom.session import configure
 
@@ -25,6 +27,18 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op2_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_held_out(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = fit_to_labels(documents, table(spark, sf_dir, "labels"))
+    return grade_documents(documents, model, tail=TOP_GRADE)
+
+
 @query
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_read_back(table(spark, sf_dir, "documents"))
