@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tabloom.llm.fingerprints import fingerprint_documents
 from tabloom.llm.language import identify_held_out
 from tabloom.llm.licences import scan_licences
+from tabloom.llm.ngram_join import join_documents
 from tabloom.llm.packing import pack_documents
 from tabloom.llm.quality import TOP_GRADE, fit_to_labels, grade_documents
 from tabloom.llm.token_files import encode_and_read_back
@@ -32,6 +33,11 @@ def op2_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_held_out(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return join_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
