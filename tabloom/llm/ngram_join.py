@@ -213,3 +213,14 @@ def join_documents(
         .select("doc_id", "n_shingles", "component_id")
         .unionByName(labelled.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
     )
+
+
+def one_of_each(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """The rows, with all their columns, of one document of every component: its smallest
+    doc_id. Rows without words all stay. Of rows that repeat the doc_id kept, those stay that
+    belong to the component; equal rows stay once."""
+    found = join_documents(documents, size, percent)
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = kept.select(F.col("doc_id").alias("kept")).distinct()
+    rows = documents.select(F.struct(*documents.columns).alias("row"))
+    return rows.join(kept, F.col("row.doc_id").eqNullSafe(F.col("kept")), "left_semi").select("row.*")

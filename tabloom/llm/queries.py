@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tabloom.llm.decontaminate import report_leaks
 from tabloom.llm.fingerprints import fingerprint_documents
 from tabloom.llm.language import identify_held_out
 from tabloom.llm.licences import scan_licences
 from tabloom.llm.ngram_join import join_documents
 from tabloom.llm.packing import pack_documents
 from tabloom.llm.quality import TOP_GRADE, fit_to_labels, grade_documents
+from tabloom.llm.secrets import report_secrets
 from tabloom.llm.token_files import encode_and_read_back
 from tabloom.session import configure
 
@@ -45,6 +47,16 @@ def op4_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grade_documents(documents, model, tail=TOP_GRADE)
 
 
+@query
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report_secrets(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_read_back(table(spark, sf_dir, "documents"))
