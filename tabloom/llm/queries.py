@@ -14,6 +14,7 @@ from tabloom.llm.ngram_join import join_documents
 from tabloom.llm.packing import pack_documents
 from tabloom.llm.quality import TOP_GRADE, fit_to_labels, grade_documents
 from tabloom.llm.secrets import report_secrets
+from tabloom.llm.substring_dedup import remove_repeats
 from tabloom.llm.token_files import encode_and_read_back
 from tabloom.session import configure
 
@@ -30,6 +31,11 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_held_out(table(spark, sf_dir, "documents"))
