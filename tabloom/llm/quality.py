@@ -101,7 +101,7 @@ def gradient(model: OrdinalModel, grade: np.ndarray, row: np.ndarray, feature: n
     by_threshold = np.zeros((len(grade), len(model.thresholds) + 2))
     by_threshold[at, grade + 1] -= upper
     by_threshold[at, grade] += lower
-    by_weight = np.bincount(feature, weights=(upper - lower)[row], minlength=SIZE)
+    by_weight = np.bincount(feature, weights=(upper - lower)[row], minlength=len(model.weights))
     return by_weight, by_threshold[:, 1:-1].sum(axis=0)
 
 
@@ -127,46 +127,49 @@ def fit(documents: DataFrame, ratings: DataFrame, top: int, max_rated: int = MAX
     sample = rated_sample(documents, ratings, max_rated).mapInArrow(extract, "grade int, features array<int>")
     sample = stored(sample.coalesce(PARTS), "rated-features")
     total = sample.count()
-    frequent = sample.select(F.explode("features").alias("f")).groupBy("f").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_TEXTS)
-    useful = np.zeros(SIZE, bool)
-    useful[[r["f"] for r in frequent.select("f").collect()]] = True  # at most SIZE numbers
-    model = OrdinalModel(np.zeros(SIZE), np.linspace(-1, 1, top) if top > 1 else np.zeros(1))
     if not total:
-        model.thresholds = np.full(top, -30.0)
-        return model
+        return OrdinalModel(np.zeros(SIZE, np.float32), np.full(top, -30.0))
+    frequent = sample.select(F.explode("features").alias("f")).groupBy("f").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_TEXTS)
+    useful = np.sort(np.array([r["f"] for r in frequent.select("f").collect()], np.int64))  # at most SIZE numbers
+
+    def renumber(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+            feature = lists.flatten().to_numpy()
+            keep = np.isin(feature, useful)
+            bounds = np.searchsorted(row[keep], np.arange(batch.num_rows + 1)).astype(np.int32)
+            held = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.searchsorted(useful, feature[keep]).astype(np.int32)))
+            yield pa.record_batch([batch.column(0), held], names=["grade", "features"])
+
+    sample = stored(sample.mapInArrow(renumber, "grade int, features array<int>"), "useful-features")
+    size = len(useful)
 
     def partial(current: OrdinalModel):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            by_weight, by_threshold = np.zeros(SIZE), np.zeros(top)
+            slope = np.zeros(size + top)
             for batch in batches:
                 lists = batch.column(1)
                 row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
-                w, t = gradient(current, batch.column(0).to_numpy(), row, lists.flatten().to_numpy())
-                by_weight += w
-                by_threshold += t
-            at = np.flatnonzero(by_weight * useful)
-            yield pa.record_batch(
-                [pa.array([at.astype("<i4").tobytes()]), pa.array([by_weight[at].tobytes()]), pa.array([by_threshold.tobytes()])],
-                names=["at", "by_weight", "by_threshold"],
-            )
+                slope += np.concatenate(gradient(current, batch.column(0).to_numpy(), row, lists.flatten().to_numpy()))
+            yield pa.record_batch([pa.array([slope.tobytes()])], names=["slope"])
 
         return run
 
-    parameters = np.concatenate([model.weights, model.thresholds])
+    parameters = np.concatenate([np.zeros(size), np.linspace(-1, 1, top) if top > 1 else np.zeros(1)])
     first, second = np.zeros_like(parameters), np.zeros_like(parameters)
     for step in range(1, steps + 1):
-        current = OrdinalModel(parameters[:SIZE].astype(np.float32), np.sort(parameters[SIZE:]))
-        slope = np.zeros_like(parameters)
+        current = OrdinalModel(parameters[:size].astype(np.float32), np.sort(parameters[size:]))
         # One row for each of the sample's few parts.
-        for part in sample.mapInArrow(partial(current), "at binary, by_weight binary, by_threshold binary").collect():
-            slope[np.frombuffer(part["at"], "<i4")] += np.frombuffer(part["by_weight"])
-            slope[SIZE:] += np.frombuffer(part["by_threshold"])
-        slope /= total
-        slope[:SIZE] += SHRINK * parameters[:SIZE]
+        parts = sample.mapInArrow(partial(current), "slope binary").collect()
+        slope = sum(np.frombuffer(part["slope"]) for part in parts) / total
+        slope[:size] += SHRINK * parameters[:size]
         first = 0.9 * first + 0.1 * slope
         second = 0.99 * second + 0.01 * slope**2
         parameters -= RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
-    return OrdinalModel(np.where(useful, parameters[:SIZE], 0).astype(np.float32), np.sort(parameters[SIZE:]))
+    weights = np.zeros(SIZE, np.float32)
+    weights[useful] = parameters[:size]
+    return OrdinalModel(weights, np.sort(parameters[size:]))
 
 
 def grade_documents(documents: DataFrame, model: OrdinalModel, tail: int, least: float = 0.5) -> DataFrame:
