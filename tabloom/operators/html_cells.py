@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -20,7 +21,7 @@ ESCAPABLE = {"textarea", "title"}
 _ATTRIBUTES = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+"""
 _TOKEN = re.compile(
     rf"""<!--(?:-?>|.*?(?:--!?>|\Z))
-    |<(?P<raw>{RAW_TEXT})(?=[\s/>]){_ATTRIBUTES}>(?P<body>.*?)(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)
+    |<(?P<raw>{RAW_TEXT})(?=[\s/>]){_ATTRIBUTES}>(?P<body>.*?)(?:</(?P=raw)(?=[\s/>])[^>]*+(?:>|\Z)|\Z)
     |<(?P<end>/?)(?P<tag>[a-z][^\s/>]*+)(?P<attrs>{_ATTRIBUTES})>
     |<[!?/][^>]*(?:>|\Z)
     |<[a-z][^>]*\Z""",
@@ -232,57 +233,83 @@ def _encode(pages: list[list | None]) -> pa.Array:
 
 
 def parse_batches(batches: Iterator[pa.RecordBatch], flush_chars: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """``(page_id, html)`` batches to ``(page_id, tables)`` batches of bounded size."""
+    """Batches that end in a column of pages to batches of bounded size that end in their tables."""
     for batch in batches:
-        ids, pages = batch.column(0), batch.column(1)
+        *keys, pages = batch.columns
         start, held, parsed = 0, 0, []
         for i in range(len(pages)):
             page = pages[i].as_py()
             parsed.append(None if page is None else scan_tables(page))
             held += len(page or "")
             if held >= flush_chars or i + 1 == len(pages):
-                yield pa.record_batch([ids[start : i + 1], _encode(parsed)], names=["page_id", "tables"])
+                kept = [key[start : i + 1] for key in keys]
+                yield pa.record_batch([*kept, _encode(parsed)], names=[*batch.schema.names[:-1], "tables"])
                 start, held, parsed = i + 1, 0, []
 
 
-def resolve_slots(rows: list[list[tuple[int, int]]]) -> list[list[int]]:
-    """Grid of one table from (colspan, rowspan) pairs: which cell fills each column.
+def _paint(line: list[tuple], start: int, end: int, value: object) -> None:
+    """Give columns start..end a value, in a sorted list of disjoint (start, end, value)."""
+    low = bisect_right(line, start, key=lambda part: part[1])
+    high = bisect_left(line, end, key=lambda part: part[0])
+    new = [(start, end, value)]
+    if low < high:
+        first, last = line[low], line[high - 1]
+        if first[0] < start:
+            new.insert(0, (first[0], start, first[2]))
+        if last[1] > end:
+            new.append((end, last[1], last[2]))
+    line[low:high] = new
+
+
+def resolve_runs(rows: list[list[tuple[int, int]]]) -> list[list[tuple[int, int]]]:
+    """Which cell fills each column of a table, from (colspan, rowspan) pairs: per row, runs of
+    (cell, columns).
 
     Cells are numbered through the table in document order; -1 marks a gap. A
     cell starts at the first free column. The columns it spans to the right are
-    not checked, so it may cover one that a taller cell above still holds.
+    not checked, so it may cover one that a taller cell above still holds. The work
+    follows the number of runs, not that of columns.
     """
-    reach: dict[int, tuple[int, int]] = {}  # column -> (last row covered, cell number)
+    hanging: list[tuple] = []  # (start, end, (last row, cell))
     number = -1
-    grid = []
+    out = []
     for r, row in enumerate(rows):
-        reach = {column: tall for column, tall in reach.items() if tall[0] >= r}
-        line = {column: cell for column, (_, cell) in reach.items()}
+        hanging = [part for part in hanging if part[2][0] >= r]
+        line = [(start, end, cell) for start, end, (_, cell) in hanging]
         free = 0
         for colspan, rowspan in row:
             number += 1
-            while free in line:
-                free += 1
-            covered = range(free, free + colspan)
-            line.update(dict.fromkeys(covered, number))
+            at = bisect_right(line, free, key=lambda part: part[1])
+            while at < len(line) and line[at][0] <= free:
+                free = line[at][1]
+                at += 1
+            _paint(line, free, free + colspan, number)
             if rowspan > 1:
-                reach.update(dict.fromkeys(covered, (r + rowspan - 1, number)))
+                _paint(hanging, free, free + colspan, (r + rowspan - 1, number))
             free += colspan
-        grid.append([line.get(c, -1) for c in range(max(line) + 1)] if line else [])
-    return grid
+        runs, reached = [], 0
+        for start, end, cell in line:
+            if start > reached:
+                runs.append((-1, start - reached))
+            runs.append((cell, end - start))
+            reached = end
+        out.append(runs)
+    return out
 
 
-def slots_of(spans: pa.Array) -> pa.Array:
-    """Arrow form of :func:`resolve_slots`, one table at a time; NULL stays NULL.
+RUN_TYPE = pa.struct([("cell", pa.int32()), ("n", pa.int64())])
+_LONGEST = (1 << 63) - 1
 
-    A cell comes as one number, ``rowspan << 32 | colspan``.
-    """
-    line_type = pa.list_(pa.list_(pa.int32()))
+
+def runs_of(colspans: pa.Array, rowspans: pa.Array) -> pa.Array:
+    """Arrow form of :func:`resolve_runs`, one table at a time; NULL stays NULL."""
+    line_type = pa.list_(pa.list_(RUN_TYPE))
     tables = []
-    for table in spans:
-        if not table.is_valid:
+    for wide, tall in zip(colspans, rowspans):
+        if not wide.is_valid:
             tables.append(pa.nulls(1, line_type))
             continue
-        rows = [[(n & 0xFFFFFFFF, n >> 32) for n in row] for row in table.as_py()]
-        tables.append(pa.array([resolve_slots(rows)], line_type))
+        rows = [list(zip(*pair)) for pair in zip(wide.as_py(), tall.as_py())]
+        made = [[{"cell": cell, "n": min(n, _LONGEST)} for cell, n in row] for row in resolve_runs(rows)]
+        tables.append(pa.array([made], line_type))
     return pa.concat_arrays(tables) if tables else pa.nulls(0, line_type)

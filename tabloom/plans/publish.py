@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tabloom.functions.names import sanitise_name
 from tabloom.functions.text import clean_value
 from tabloom.operators.envelope import build_record, encode_row, key_order, schema_json
-from tabloom.operators.extract import data_cells, data_rows, extract_tables
+from tabloom.operators.extract import data_cells, data_rows, judge_pages
 from tabloom.operators.infer import infer_types, name_columns, table_schemas
 
 # Default class and name of the wanted table.
@@ -17,33 +17,45 @@ TABLE_NAME = "html_data"
 
 def place_by_page(tables: DataFrame) -> DataFrame:
     """The one shuffle of extracted tables. What follows is grouped by page and needs no other."""
-    return tables.filter(F.col("page_id").isNotNull()).repartition("page_id")
+    return tables.repartition("page_key")
 
 
 def infer_schemas(tables: DataFrame) -> DataFrame:
-    """``page_id, n_rows, columns`` of placed tables; each page's table has its own schema."""
-    types = infer_types(data_cells(data_rows(tables)), ["page_id", "col_idx"])
-    names = name_columns(tables.withColumn("n_rows", F.size("rows")), ["page_id", "n_rows"])
-    return table_schemas(names, types, ["page_id"], F.max("n_rows").alias("n_rows"))
+    """``page_key, page_id, n_rows, columns`` of placed tables; each page's table has its own schema."""
+    types = infer_types(data_cells(data_rows(tables)), ["page_key", "col_idx"])
+    counted = tables.withColumn("n_rows", F.size("rows"))
+    names = name_columns(counted, ["page_key", "n_rows"])
+    schemas = table_schemas(names, types, ["page_key"], F.max("n_rows").alias("n_rows"))
+    return schemas.join(tables.select("page_key", "page_id"), "page_key")
 
 
-def rows_with_schema(tables: DataFrame, table_name: Column | str = TABLE_NAME) -> DataFrame:
-    """``page_id, row_idx, schema, schema_text, keys, cells`` for every data row.
+def judged_rows(tables: DataFrame, table_name: Column | str = TABLE_NAME) -> DataFrame:
+    """``page_id, page_key, row_idx, schema, schema_text, keys, cells, reason``: every data row,
+    and one row with a ``reason`` for every page without any.
 
     Tables are shuffled once, by page. Types, names and rows all read the same
     columns of that one exchange, so Spark runs the extraction below it once.
     """
     name = F.lit(table_name) if isinstance(table_name, str) else table_name
     placed = place_by_page(tables)
+    # Every branch reads all columns of the exchange, or Catalyst would prune it three ways.
+    whole = F.col("reason").isNull() & (F.xxhash64("page_id") >= -(1 << 63))
+    tied = placed.withColumn("rows", F.when(whole, F.col("rows"))).withColumn("n_rows", F.size("rows"))
+    types = infer_types(data_cells(data_rows(tied, keep_empty=True)), ["page_key", "col_idx"])
+    names = name_columns(tied, ["page_key", "n_rows"])
     schema = F.struct(sanitise_name(name).alias("table_name"), F.col("columns").alias("columns"))
-    described = (
-        infer_schemas(placed)
-        .filter(F.col("n_rows") > 0)
-        .select("page_id", schema.alias("schema"))
-        .withColumns({"schema_text": schema_json(F.col("schema")), "keys": key_order(F.col("schema.columns.name"))})
+    described = table_schemas(names, types, ["page_key"], F.max("n_rows").alias("n_rows")).filter("n_rows > 0")
+    described = described.select("page_key", schema.alias("schema")).withColumns(
+        {"schema_text": schema_json(F.col("schema")), "keys": key_order(F.col("schema.columns.name"))}
     )
-    joined = placed.join(described.hint("shuffle_hash"), "page_id")
-    return data_rows(joined, "schema", "schema_text", "keys")
+    joined = tied.join(described, "page_key", "left")
+    rows = data_rows(joined, "schema", "schema_text", "keys", "reason", keep_empty=True)
+    return rows.withColumn("reason", F.when(F.col("row_idx").isNull(), F.coalesce("reason", F.lit("no_data"))))
+
+
+def rows_with_schema(tables: DataFrame, table_name: Column | str = TABLE_NAME) -> DataFrame:
+    """``page_id, row_idx, schema, schema_text, keys, cells`` for every data row."""
+    return judged_rows(tables, table_name).filter(F.col("row_idx").isNotNull())
 
 
 def records_with_schema(tables: DataFrame, table_name: Column | str = TABLE_NAME) -> DataFrame:
@@ -53,10 +65,20 @@ def records_with_schema(tables: DataFrame, table_name: Column | str = TABLE_NAME
     return rows.select("page_id", "row_idx", "schema", record.alias("record"))
 
 
+def messages_and_rejects(
+    pages: DataFrame, table_name: Column | str = TABLE_NAME, css_class: str | None = CSS_CLASS, table_index: int = 0, **limits: int | None
+) -> DataFrame:
+    """``page_id, row_idx, value, reason``: a JSON message per data row, and for every page that
+    gives none a row with the ``reason``. One parse and one shuffle make both."""
+    rows = judged_rows(judge_pages(pages, css_class, table_index, **limits), table_name)
+    cleaned = rows.withColumn("cells", F.transform("cells", clean_value))
+    value = F.when(F.col("reason").isNull(), encode_row(F.col("schema_text"), F.col("keys"), F.col("cells")))
+    return cleaned.select("page_id", "row_idx", value.alias("value"), "reason")
+
+
 def build_messages(
-    pages: DataFrame, table_name: Column | str = TABLE_NAME, css_class: str | None = CSS_CLASS, table_index: int = 0
+    pages: DataFrame, table_name: Column | str = TABLE_NAME, css_class: str | None = CSS_CLASS, table_index: int = 0, **limits: int | None
 ) -> DataFrame:
     """Pages to ``(page_id, row_idx, value)``, one JSON message per data row."""
-    rows = rows_with_schema(extract_tables(pages, css_class, table_index), table_name)
-    cleaned = rows.withColumn("cells", F.transform("cells", clean_value))
-    return cleaned.select("page_id", "row_idx", encode_row(F.col("schema_text"), F.col("keys"), F.col("cells")).alias("value"))
+    both = messages_and_rejects(pages, table_name, css_class, table_index, **limits)
+    return both.filter(F.col("row_idx").isNotNull()).drop("reason")

@@ -5,16 +5,31 @@ from pyspark.sql import functions as F
 
 from tabloom.operators import extract, html_cells
 
-TWO = (
-    '<table class="menu"><tr><th>Go</th></tr><tr><td>Home</td></tr></table>'
-    '<table class="big wikitable"><tr><th>Place</th><th>Size</th></tr><tr><td>Oslo</td><td>7</td></tr></table>'
-)
+SEEDED = random.Random(20)
+
+
+def grid_page(rows, table_class="", header="th"):
+    """A table of texts; the first row is its header."""
+    lines = ["".join(f"<{header if i == 0 else 'td'}>{c}" for c in row) for i, row in enumerate(rows)]
+    return f'<table class="{table_class}"><tr>' + "<tr>".join(lines) + "</table>"
+
+
+def some_rows(columns, rows):
+    return [[f"v{SEEDED.randrange(10**6)}" for _ in range(columns)] for _ in range(rows + 1)]
+
+
+def as_found(rows):
+    return rows[0], rows[1:]
+
+
+FIRST, SECOND, THIRD = some_rows(1, 3), some_rows(4, 2), some_rows(2, 5)
+SEVERAL = "<p>x" + grid_page(FIRST, "links") + grid_page(SECOND, "striped results") + grid_page(THIRD, "resultset")
 
 
 def extracted(spark, *pages, **options):
     df = spark.createDataFrame(list(enumerate(pages)), "page_id bigint, html string")
     rows = extract.extract_tables(df, **options).orderBy("page_id").collect()
-    return [(r["headers"], [x["cells"] for x in r["rows"]]) for r in rows]
+    return [(r["headers"], [[c["text"] for c in x["runs"] for _ in range(c["n"])] for x in r["rows"]]) for r in rows]
 
 
 def normalised(spark, page, **options):
@@ -24,24 +39,52 @@ def normalised(spark, page, **options):
 
 
 def test_choice_of_table(spark):
-    big, menu = (["Place", "Size"], [["Oslo", "7"]]), (["Go"], [["Home"]])
-    assert extracted(spark, TWO, css_class="wikitable") == [big]
-    assert extracted(spark, TWO) == [menu]
-    assert extracted(spark, TWO, css_class="absent", table_index=1) == [big]
-    assert extracted(spark, TWO, css_class="wiki", table_index=99) == [menu]
-    assert extracted(spark, TWO, table_index=-1) == [menu]
-
-
-def test_spans(spark):
-    wide = '<table><tr><th colspan="2">Name</th><th>Score</th></tr><tr><td>Ann</td><td>Lee</td><td>9</td></tr></table>'
-    tall = (
-        "<table><tr><th>Area</th><th>Town</th><th>N</th></tr><tr><td rowspan=2>North</td><td>A</td><td>1</td></tr>"
-        '<tr><td>B</td><td>2</td></tr><tr><td rowspan="1">South</td><td>C</td><td>3</td></tr></table>'
-    )
-    assert extracted(spark, wide) == [(["Name", "Name", "Score"], [["Ann", "Lee", "9"]])]
-    assert extracted(spark, tall) == [
-        (["Area", "Town", "N"], [["North", "A", "1"], ["North", "B", "2"], ["South", "C", "3"]])
-    ]
+    """The class decides where a table has it, else the position, else the first table."""
+    tables = [FIRST, SECOND, THIRD]
+    choices = {("results", 0): 1, ("resultset", 0): 2, ("result", 2): 2, ("RESULTS", 1): 1, (None, 0): 0, ("none", 3): 0, (None, -2): 0}
+    for (css_class, index), want in choices.items():
+        assert extracted(spark, SEVERAL, css_class=css_class, table_index=index) == [as_found(tables[want])]
+
+
+def spanned_page(spark, placed, width, height):
+    """Render rectangles (row, column, rows, columns, text) that tile a grid."""
+    lines = []
+    for r in range(height):
+        cells = sorted((c, f'<td rowspan="{h}" colspan="{w}">{text}') for top, c, h, w, text in placed if top == r)
+        lines.append("<tr>" + "".join(cell for _, cell in cells))
+    return "<table><tr>" + "<th>h" * width + "".join(lines) + "</table>"
+
+
+def tiling(rnd, width, height):
+    """Random rectangles that cover every place once."""
+    owner, placed = {}, []
+    for r in range(height):
+        for c in range(width):
+            if (r, c) in owner:
+                continue
+            w = h = 1
+            while c + w < width and (r, c + w) not in owner and rnd.random() < 0.4:
+                w += 1
+            while r + h < height and rnd.random() < 0.4:
+                h += 1
+            placed.append((r, c, h, w, f"t{len(placed)}"))
+            owner.update({(r + i, c + j): f"t{len(placed) - 1}" for i in range(h) for j in range(w)})
+    return placed, [[owner[r, c] for c in range(width)] for r in range(height)]
+
+
+def test_spans_fill_their_rectangles(spark):
+    rnd = random.Random(8)
+    cases = [(w, h, *tiling(rnd, w, h)) for w, h in [(rnd.randint(1, 6), rnd.randint(1, 7)) for _ in range(60)]]
+    pages = [spanned_page(spark, placed, w, h) for w, h, placed, _ in cases]
+    assert extracted(spark, *pages) == [(["h"] * w, grid) for w, _, _, grid in cases]
+
+
+def test_huge_spans_cost_no_columns(spark):
+    wide = "<table><tr><th>a<th>b<tr><td colspan=9000000000000000000>x<tr><td rowspan=77777777777 colspan=1000000000>y" + "<tr>" * 5000 + "</table>"
+    got = normalised(spark, wide)
+    assert got[0] == ["x", "x"] and got[1:] == [["y", "y"]] * 5001
+    df = spark.createDataFrame([(0, "<table><tr><th colspan=5000000>a<tr><td>1</table>")], "page_id bigint, html string")
+    assert [r["reason"] for r in extract.judge_pages(df).collect()] == ["too_wide"]
 
 
 def test_header_spanning_rows_leaves_data_behind(spark):
@@ -55,7 +98,7 @@ def test_rows_above_the_header_stay(spark):
 
 
 def test_rejects(spark):
-    pages = ["<p>no</p>", "<table></table>", "<table><tr></tr></table>", TWO, "<!-- <table> -->", "<TABLE><TD>x"]
+    pages = ["<p>no</p>", "<table></table>", "<table><tr></tr></table>", SEVERAL, "<!-- <table> -->", "<TABLE><TD>x"]
     df = spark.createDataFrame(list(enumerate(pages)), "page_id bigint, html string")
     got = {r["page_id"]: r["reason"] for r in extract.extract_rejects(extract.parse_pages(df)).collect()}
     assert got == {0: "no_table", 1: "no_rows", 2: "no_header", 4: "no_table"}
@@ -112,57 +155,55 @@ def test_deep_nesting():
     assert texts(page) == [[["x" * 3000]]]
 
 
-def fold(rows):
-    """The grid by definition: walk rows, keep what still hangs down from above."""
-    grid, hanging, number = [], [], 0
-    for row in rows:
-        line = {c: cell for c, cell, _ in hanging}
-        hanging = [(c, cell, left - 1) for c, cell, left in hanging if left > 1]
-        at = 0
-        for cs, rs in row:
-            while at in line:
-                at += 1
-            for c in range(at, at + cs):
-                line[c] = number
-                if rs > 1:
-                    hanging = [h for h in hanging if h[0] != c] + [(c, number, rs - 1)]
-            at, number = at + cs, number + 1
-        grid.append([line.get(c, -1) for c in range(max(line, default=-1) + 1)])
-    return grid
-
-
-def test_slots_against_definition():
+def columns_of(runs):
+    return [cell for cell, n in runs for _ in range(n)]
+
+
+def test_runs_keep_to_the_rules():
+    """Cells start at the first column that no taller cell holds, and fill their rectangle unless
+    a later cell is painted over it."""
     rnd = random.Random(7)
-    for _ in range(3000):
+    for _ in range(2000):
         rows = [
             [(rnd.choice([1, 1, 1, 2, 3]), rnd.choice([1, 1, 1, 2, 3, 5])) for _ in range(rnd.randint(0, 4))]
             for _ in range(rnd.randint(0, 6))
         ]
-        assert html_cells.resolve_slots(rows) == fold(rows)
-
-
-def test_both_ways_agree_without_row_spans(spark):
-    """Array expressions and the slot fold give the same grid on tables that only have column spans."""
-    rnd = random.Random(3)
-    pages = []
-    for _ in range(40):
-        rows = ["".join(f'<td colspan="{rnd.randint(1, 3)}">{rnd.random()}</td>' for _ in range(rnd.randint(0, 4))) for _ in range(5)]
-        pages.append("<table>" + "".join(f"<tr>{r}</tr>" for r in rows) + "</table>")
-    df = spark.createDataFrame(list(enumerate(pages)), "page_id bigint, html string")
-    for r in extract.resolve_grid(extract.select_table(extract.parse_pages(df))).collect():
-        slots = html_cells.resolve_slots([[(int(c["colspan"]), 1) for c in row] for row in r["rows"]])
-        flat = [c["text"] for row in r["rows"] for c in row]
-        assert r["grid"] == [[flat[i] for i in line] for line in slots]
+        lines = [columns_of(runs) for runs in html_cells.resolve_runs(rows)]
+        assert len(lines) == len(rows)
+        number, height = 0, {}
+        for r, row in enumerate(rows):
+            for k, (cols, tall) in enumerate(row):
+                height[number + k] = (r, tall)
+                at = [c for c, cell in enumerate(lines[r]) if cell == number + k]
+                later = set(range(number + k + 1, number + len(row)))
+                assert len(at) == cols or any(cell in later for cell in lines[r])
+            number += len(row)
+        for r, line in enumerate(lines):
+            assert all(cell == -1 or height[cell][0] <= r < height[cell][0] + height[cell][1] for cell in line)
+
+
+def test_unclosed_raw_text_is_linear():
+    page = "<table><tr><td>a</table><script>" + "</script " * 60_000
+    assert len(scan(page)) == 1
 
 
 def test_span_value(spark):
     cases = {
         "2": 2, "2px": 2, " +3": 3, "0": 1, "-1": 1, "x": 1, "": 1, "010": 8, "08": 1, "0x1F": 31, "0b11": 3, "0o17": 15, "1_0": 10,
-        "1__0": 1, "99999999999999999999": 1, "5000": 1000, "1000": 1000, " 7": 7, "7.9": 7,
+        "1__0": 1, "99999999999999999999": 1, "5000": 5000, "1000": 1000, "\u00a07": 7, "7.9": 7, "0x" + "F" * 18: 1,
+        "0" + "7" * 30: 1, "0b" + "1" * 63: 2**63 - 1, "0b" + "1" * 64: 1, "0x" + "0" * 40 + "1f": 31, "0o" + "7" * 21: 2**63 - 1,
+        "0x7fffffffffffffff": 2**63 - 1, "0x8000000000000000": 1, "9223372036854775807": 2**63 - 1, "9223372036854775808": 1, "0x": 1,
     }
     df = spark.createDataFrame([(k,) for k in cases], "a string")
-    got = {r["a"]: r["v"] for r in df.select("a", extract.span_value(F.col("a"), 1000).alias("v")).collect()}
+    got = {r["a"]: r["v"] for r in df.select("a", extract.span_value(F.col("a")).alias("v")).collect()}
     assert got == cases
+    assert {r["a"]: r["v"] for r in df.select("a", extract.span_value(F.col("a"), 9).alias("v")).collect()} == {k: min(v, 9) for k, v in cases.items()}
+
+
+def test_cut_pages_are_marked(spark):
+    df = spark.createDataFrame([(1, SEVERAL), (2, "<p>short")], "page_id bigint, html string")
+    assert {r["page_id"]: r["page_cut"] for r in extract.judge_pages(df, max_bytes=100).collect()} == {1: True, 2: False}
+    assert not any(r["page_cut"] for r in extract.judge_pages(df).collect())
 
 
 def test_cap_body(spark):
@@ -171,5 +212,5 @@ def test_cap_body(spark):
 
 
 def test_every_page_is_accounted_for(spark):
-    df = spark.createDataFrame([(1, "<p>"), (2, None), (3, TWO)], "page_id bigint, html string")
-    assert {r["page_id"]: len(r["tables"]) for r in extract.parse_pages(df).collect()} == {1: 0, 2: 0, 3: 2}
+    df = spark.createDataFrame([(1, "<p>"), (2, None), (3, SEVERAL)], "page_id bigint, html string")
+    assert {r["page_id"]: len(r["tables"]) for r in extract.parse_pages(df).collect()} == {1: 0, 2: 0, 3: 3}

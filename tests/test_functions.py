@@ -20,11 +20,11 @@ def check(spark, fn, cases):
 
 
 def test_clean_value(spark):
-    check(spark, text.clean_value, {
-        "Chile[7]": "Chile", "  9,876 [b]　": "9,876", "—": "", " – ": "", "-[x]": "", "N/A": "", "n/a": "",
-        "NA": "", "?": "", "Na": "Na", "": "", "plain": "plain", "a[1]b[2]": "ab", "[open": "[open", "x[]": "x",
-        "\x85 x y \t": "x y", "​x": "​x",
-    })
+    tokens = ["", "—", "–", "-", "N/A", "n/a", "NA", "?"]
+    spaces = ["", " ", "\u3000", "\x85 \t", "\u2003"]
+    cases = {f"{left}{token}{note}{right}": "" for token in tokens for left in spaces for right in spaces for note in ("", "[9]", "[z][12]")}
+    cases |= {f"{left}q{k} r{note}{right}": f"q{k} r" for k, (left, right) in enumerate(zip(spaces, reversed(spaces))) for note in ("", "[k]")}
+    check(spark, text.clean_value, cases | {"Na": "Na", "s[1]t[2]": "st", "[open": "[open", "\u200bx": "\u200bx"})
 
 
 def test_trim_agrees_with_the_unicode_property(spark):
@@ -43,11 +43,15 @@ def test_strip_decorations(spark):
 
 
 def test_sanitise_name(spark):
-    long = "A_Rather_Long_Heading_For_A_Column_That_Goes_On_Beyond_The_Limit_" + "Z"
-    check(spark, names.sanitise_name, {
-        "Area / km2": "area_km2", "% of total": "of_total", "Rank[3]": "rank_", "": "col", "—": "col", "Price (USD)": "price_usd",
-        long: long.lower()[:64], "Índice": "ndice", "KEY": "key_", "a__b": "a_b", "[x]": "col",
-    })
+    """Letters and digits stay in lower case, anything between becomes one mark, none at the ends."""
+    parts = ["Height", "m2", "OF", "x9", "é"]
+    cases = {}
+    for mark in (" ", " / ", "-", "__", " (", "% "):
+        raw = mark.join(parts)
+        cases[raw] = "height_m2_of_x9"
+        cases[f"{mark}{raw}{mark}[4]"] = "height_m2_of_x9"
+    cases |= {"": "col", "—": "col", "[q]": "col", "ORDER": "order_", "Y" * 80: "y" * 64}
+    check(spark, names.sanitise_name, cases)
 
 
 def test_dedupe_names(spark):

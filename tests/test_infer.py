@@ -1,3 +1,4 @@
+import json
 import random
 
 import pytest
@@ -68,27 +69,38 @@ def schemas(spark, *pages):
     return [[(c["name"], c["type"]) for c in r["columns"]] for r in found]
 
 
+MADE = {
+    "BIGINT": lambda r: f"{r.randrange(10**6):,}", "DOUBLE": lambda r: f"{r.random() * 90 + 1:.3f}", "DATE": lambda r: f"20{r.randrange(10, 30)}-0{r.randrange(1, 9)}-1{r.randrange(9)}",
+    "TIMESTAMP": lambda r: f"1999-12-0{r.randrange(1, 9)} 0{r.randrange(9)}:30:00", "VARCHAR(512)": lambda r: f"w{r.randrange(99)} q", "TEXT": lambda r: "q" * r.randrange(513, 700),
+}
+
+
 def test_schemas(spark):
-    got = schemas(
-        spark,
-        page(["Name", "People", "Share", "Since", "Notes"], ["Peru", "1,400,000", "17.5%", "1821-07-28", "tall"],
-             ["Chad", "331,000", "4.2%", "1960-08-11", ""]),
-        page(["Price", "Cap", "Change"], ["$1,234", "€5,000", "3.5%"], ["$999", "€800", "-0.5%"]),
-        page(["created at", "day"], ["2024-01-15 09:30:00", "2024-01-15"]),
-        page(["year"], ["2020"], ["2021"]),
-        page(["% change", "$ change", "", ""], ["1", "2", "x", ""]),
-        page(["num"], ["42"], [""], ["—"], ["100"]),
-        page(["value"], ["1"], ["2"], ["3.5"]),
-    )
-    assert got == [
-        [("name", "VARCHAR(512)"), ("people", "BIGINT"), ("share", "DOUBLE"), ("since", "DATE"), ("notes", "VARCHAR(512)")],
-        [("price", "BIGINT"), ("cap", "BIGINT"), ("change", "DOUBLE")],
-        [("created_at", "TIMESTAMP"), ("day", "DATE")],
-        [("year", "BIGINT")],
-        [("change", "BIGINT"), ("change_2", "BIGINT"), ("col", "VARCHAR(512)"), ("col_2", "BIGINT")],
-        [("num", "BIGINT")],
-        [("value", "DOUBLE")],
-    ]
+    """Columns of generated values get the type they were generated for, page by page."""
+    rnd = random.Random(31)
+    pages, want = [], []
+    for _ in range(25):
+        types = [rnd.choice(list(MADE)) for _ in range(rnd.randint(1, 6))]
+        headers = [f"Col{rnd.randrange(5)}" for _ in types]
+        rows = [[MADE[t](rnd) if rnd.random() < 0.8 else "" for t in types] for _ in range(6)] + [[MADE[t](rnd) for t in types]]
+        pages.append(page(headers, *rows))
+        counts: dict = {}
+        names = []
+        for h in headers:
+            counts[h] = counts.get(h, 0) + 1
+            names.append(h.lower() + (f"_{counts[h]}" if counts[h] > 1 else ""))
+        want.append(list(zip(names, types)))
+    assert schemas(spark, *pages) == want
+
+
+def test_any_page_id(spark):
+    """Null, repeated and text ids: every page has its own schema and all its rows."""
+    made = page(["k", "k"], ["1", "two"])
+    df = spark.createDataFrame([("u1", made), ("u1", made), (None, made), ("u1", page(["z"], ["9"])), (None, "<p>")], "page_id string, html string")
+    got = publish.messages_and_rejects(df, "T", css_class=None).collect()
+    values = sorted(json.dumps(json.loads(r["value"])["record"]) for r in got if r["value"])
+    assert values == sorted([json.dumps({"k": "1", "k_2": "two"})] * 3 + [json.dumps({"z": "9"})])
+    assert [(r["page_id"], r["reason"]) for r in got if r["reason"]] == [(None, "no_table")]
 
 
 def test_ddl(spark):

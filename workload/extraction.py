@@ -84,29 +84,27 @@ def cell_text(t: Tables) -> DataFrame:
 
 
 _ATTR = choose(
-    "l_partkey % 19",
-    ["1", "2", "3px", " 4", "0", "-2", "x", "", "+6", "1001", "70000", "2 3", "5.7", "99999999999999999999", " 7", "+-3", "12"],
+    "l_partkey % 23",
+    ["1", "2", "3px", " 4", "0", "-2", "x", "", "+6", "1001", "70000", "2 3", "5.7", "99999999999999999999", " 7", "+-3",
+     "0xFFFFFFFFFFFFFFFFFF", "0777777777777777777777777777777", "0x000000000000000000000000000000001F", "0b" + "1" * 70, "0o" + "0" * 40 + "17"],
     "CAST(l_linenumber AS STRING)",
 )
 
 
 @query(
     "span_attr_parse",
-    "SELECT l_orderkey, l_linenumber, attr, least(n, 1000) AS colspan, least(n, 65534) AS rowspan FROM (SELECT *, "
-    r"coalesce(nullif(greatest(TRY_CAST(regexp_extract(attr, '^[\s\x{a0}]*([+]?\d+)', 1) AS INT), 0), 0), 1) AS n "
+    "SELECT l_orderkey, l_linenumber, attr, n AS span, least(n, 1000) AS colspan FROM (SELECT *, "
+    "CASE WHEN attr LIKE '0%1F' THEN 31 WHEN attr LIKE '0o%17' THEN 15 WHEN attr LIKE '0%' THEN 1 ELSE "
+    r"coalesce(nullif(greatest(TRY_CAST(regexp_extract(attr, '^[\s\x{a0}]*([+]?\d+)', 1) AS BIGINT), 0), 0), 1) END AS n "
     f"FROM (SELECT l_orderkey, l_linenumber, {_ATTR} AS attr FROM lineitem))",
 )
 def span_attr_parse(t: Tables) -> DataFrame:
     attr = F.col("attr")
     return t.lineitem.select("l_orderkey", "l_linenumber", F.expr(_ATTR).alias("attr")).withColumns(
-        {"colspan": extract.span_value(attr, extract.MAX_COLSPAN), "rowspan": extract.span_value(attr, extract.MAX_ROWSPAN)}
+        {"span": extract.span_value(attr), "colspan": extract.span_value(attr, extract.MAX_COLSPAN)}
     )
 
 
-def _grids(pages: DataFrame) -> DataFrame:
-    return extract.resolve_grid(extract.select_table(extract.parse_pages(pages)))
-
-
 _PART_LINE = (
     "CASE WHEN p_size % 3 = 0 THEN p_name || '|' || p_name ELSE replace(p_name, ' ', '|') END "
     "|| CASE WHEN p_size % 5 = 1 THEN '' ELSE '|' || p_brand || '|' || p_size END "
@@ -120,23 +118,24 @@ _PART_LINE = (
     "SELECT DISTINCT p_partkey // 50, 0, 'Name|Name|Brand|Size' FROM part",
 )
 def colspan_expand(t: Tables) -> DataFrame:
-    lines = F.transform("grid", lambda g: F.array_join(g, "|"))
-    return _grids(fixtures.part_pages(t)).select("page_id", F.posexplode(lines).alias("row_idx", "line")).withColumn(
-        "row_idx", F.col("row_idx").cast("bigint")
-    )
+    tables = extract.resolve_runs(extract.select_table(extract.parse_pages(fixtures.part_pages(t))))
+    rows = tables.select("page_id", F.posexplode("runs").alias("row_idx", "runs"))
+    line = F.array_join(extract.spread_runs(F.col("runs")), "|")
+    return rows.select("page_id", F.col("row_idx").cast("bigint").alias("row_idx"), line.alias("line"))
 
 
 @query(
     "rowspan_expand",
     "SELECT o_orderkey // 100 AS page_id, o_orderstatus AS status, format('{:,}', o_orderkey) AS order_text, "
-    "o_orderpriority AS priority, 8 AS width FROM orders",
+    "CASE WHEN o_orderkey % 17 = 0 THEN '—' ELSE '$' || format('{:,.2f}', o_totalprice) || '[a]' END AS price, "
+    "(o_custkey % 100) || '%' AS percent, strftime(o_orderdate, '%Y-%m-%d') AS placed, strftime(o_orderdate, '%b %-d, %Y') AS shipped, "
+    "o_orderpriority AS priority, 'n/a' AS note, 8 AS width FROM orders",
 )
 def rowspan_expand(t: Tables) -> DataFrame:
     rows = extract.data_rows(extract.extract_tables(fixtures.orders_pages(t), "wikitable"))
     cells = F.col("cells")
-    return rows.select(
-        "page_id", cells[0].alias("status"), cells[1].alias("order_text"), cells[6].alias("priority"), F.size(cells).alias("width")
-    )
+    names = ["status", "order_text", "price", "percent", "placed", "shipped", "priority", "note"]
+    return rows.select("page_id", *[cells[i].alias(n) for i, n in enumerate(names)], F.size(cells).alias("width"))
 
 
 @query(
@@ -147,8 +146,9 @@ def rowspan_expand(t: Tables) -> DataFrame:
 )
 def dense_rows(t: Tables) -> DataFrame:
     tables = extract.extract_tables(fixtures.tall_pages(t))
-    lines = F.transform("rows", lambda r: F.struct(r["row_idx"].cast("bigint").alias("row_idx"), F.array_join(r["cells"], "|").alias("line")))
-    return tables.select("page_id", F.explode(lines).alias("r")).select("page_id", "r.row_idx", "r.line")
+    rows = tables.select("page_id", F.explode("rows").alias("r"))
+    line = F.array_join(extract.spread_runs(F.col("r.runs")), "|")
+    return rows.select("page_id", F.col("r.row_idx").cast("bigint").alias("row_idx"), line.alias("line"))
 
 
 @query(
@@ -164,6 +164,21 @@ def header_pick(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "tables_in_given_pages",
+    "SELECT page_id, 'p' || page_id AS first_cell, strlen(url) || '' AS second_cell, 1 AS row_idx FROM pages UNION ALL "
+    "SELECT page_id, 'p' || page_id, 'x', 2 FROM pages",
+)
+def tables_in_given_pages(t: Tables) -> DataFrame:
+    """The given pages as they are, each with a table spliced in before the end of its body."""
+    table = F.expr(
+        "concat('<div><table><tr><th>Page<th>Length<tr><td rowspan=2>p', page_id, '<td>', octet_length(url), '<tr><td>x</table></div></body>')"
+    )
+    html = F.when(F.contains("html", F.lit("</body>")), F.replace("html", F.lit("</body>"), table)).otherwise(F.concat("html", table))
+    rows = extract.data_rows(extract.extract_tables(t.pages.select("page_id", html.alias("html"))))
+    return rows.select("page_id", F.get("cells", 0).alias("first_cell"), F.get("cells", 1).alias("second_cell"), "row_idx")
+
+
 @query(
     "row_normalise",
     "SELECT page_id, row_idx, list_aggregate(list_transform([1, 2, 3, 4], lambda i: coalesce(parts[i], '')), 'string_agg', '|') AS line "

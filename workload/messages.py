@@ -148,6 +148,25 @@ def encode_messages(t: Tables) -> DataFrame:
     return publishing.build_messages(fixtures.orders_pages(t), "Order[2]").select("page_id", "value")
 
 
+@query(
+    "messages_any_page_id",
+    "SELECT p AS page, n_pages, n_records, n_rejects FROM (SELECT CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE 'u' || (s_suppkey // 10) END AS p, "
+    "count(*) AS n_pages, count(*) * 2 - 2 * sum(CASE WHEN s_suppkey % 7 = 0 THEN 1 ELSE 0 END) AS n_records, "
+    "CAST(sum(CASE WHEN s_suppkey % 7 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_rejects FROM supplier GROUP BY 1)",
+)
+def messages_any_page_id(t: Tables) -> DataFrame:
+    """Null, text and repeated page ids: messages and rejects account for every page."""
+    cells = "concat('<table><tr><th>', s_name, '<th>k<tr><td>', s_acctbal, '<td>a<tr><td>', s_nationkey, '<td>b</table>')"
+    pages = t.supplier.selectExpr(
+        "if(s_suppkey % 3 = 0, null, concat('u', s_suppkey div 10)) AS page_id", f"if(s_suppkey % 7 = 0, '<p>none', {cells}) AS html"
+    )
+    found = publishing.messages_and_rejects(pages, "suppliers", css_class=None)
+    first = F.coalesce("row_idx", F.lit(1)) == 1
+    return found.groupBy(F.col("page_id").alias("page")).agg(
+        F.count(F.when(first, 1)).alias("n_pages"), F.count("value").alias("n_records"), F.count("reason").alias("n_rejects")
+    )
+
+
 # ---- content hashes over whole documents ----
 
 _DOCUMENT = {"lang": "lang", "source": "source", "text": "text", "tag <&>": "lang || chr(9) || '\"'"}
