@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabloom.functions.canonical import canonical_json, json_string
+from tabloom.functions.canonical import json_string
 from tabloom.functions.text import clean_value, empty_to_null
 from tabloom.operators.once import evaluate_once
 
 SCHEMA_DDL = "struct<table_name string, columns array<struct<name string, type string>>>"
+# Columns that stored tables have of their own.
+RESERVED_COLUMNS = ["_id", "_row_hash", "_table", "_batch"]
+# A table's name is part of a folder name, percent-encoded.
+MAX_TABLE_NAME_BYTES = 200
 _LOOSE_SCHEMA_DDL = "struct<table_name variant, columns array<struct<name variant, type variant>>>"
 
 
@@ -29,11 +33,6 @@ def schema_json(schema: Column) -> Column:
     )
 
 
-def encode_message(schema_text: Column, record: Column) -> Column:
-    """The message text: schema first, record keys in byte order."""
-    return F.concat(F.lit('{"schema":'), schema_text, F.lit(',"record":'), canonical_json(record), F.lit("}"))
-
-
 def key_order(names: Column) -> Column:
     """Record keys as JSON text with their column number, in byte order; once per table."""
     listed = F.array_sort(F.transform(names, lambda n, i: F.struct(n.alias("name"), i.alias("pos"))))
@@ -43,7 +42,7 @@ def key_order(names: Column) -> Column:
 
 
 def encode_row(schema_text: Column, keys: Column, values: Column) -> Column:
-    """The same text as :func:`encode_message` from cleaned cells, without building and sorting a map per row."""
+    """The message text from cleaned cells: schema first, record keys in byte order."""
     pairs = F.transform(keys, lambda k: F.concat(k["text"], json_string(F.get(values, k["pos"]))))
     return F.concat(F.lit('{"schema":'), schema_text, F.lit(',"record":{'), F.array_join(pairs, ","), F.lit("}}"))
 
@@ -75,11 +74,18 @@ def decode_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     text_columns = F.forall(
         "_schema.columns", lambda c: F.coalesce(_is_text(c["name"]) & _is_text(c["type"]), F.lit(False))
     )
+    given = F.transform("_schema.columns", lambda c: F.lower(F.try_variant_get(c["name"], "$", "string")))
+    distinct_columns = (F.size(F.array_distinct(given)) == F.size(given)) & ~F.exists(
+        given, lambda n: n.isin("", *RESERVED_COLUMNS)
+    )
+    table = F.try_variant_get("_schema.table_name", "$", "string")
+    usable = (F.trim(table) != "") & (F.octet_length(F.url_encode(table)) <= MAX_TABLE_NAME_BYTES) & (table != "__HIVE_DEFAULT_PARTITION__")
     named = F.coalesce(_is_text(F.col("_schema.table_name")), F.lit(False))
     reason = (
         F.when(F.col("_v").isNull(), F.lit("not_json"))
         .when(~named, F.lit("no_table_name"))
-        .when(~F.coalesce(text_columns & (F.size("_schema.columns") > 0), F.lit(False)), F.lit("bad_schema"))
+        .when(~F.coalesce(usable, F.lit(False)), F.lit("bad_table_name"))
+        .when(~F.coalesce(text_columns & distinct_columns & (F.size("_schema.columns") > 0), F.lit(False)), F.lit("bad_schema"))
         .when(F.col("_record").isNull(), F.lit("no_record"))
         .when(
             F.exists(F.map_values("_record"), lambda v: ~F.coalesce(F.schema_of_variant(v), F.lit("VOID")).isin("STRING", "VOID")),
@@ -105,13 +111,8 @@ def well_formed(decoded: DataFrame) -> DataFrame:
     return decoded.filter(F.col("reason").isNull()).drop("reason")
 
 
-def project_record(record: Column, names: list[str]) -> list[Column]:
-    """One column per name: missing keys and empty text are NULL, extra keys are dropped."""
-    return [empty_to_null(F.try_element_at(record, F.lit(n))).alias(n) for n in names]
-
-
 def project_by_schema(record: Column, columns: Column) -> Column:
-    """The same for a schema that varies by row: an array of values in schema order."""
+    """The values in schema order: missing keys and empty text are NULL, extra keys are dropped."""
     return F.transform(columns, lambda c: empty_to_null(F.try_element_at(record, c["name"])))
 
 

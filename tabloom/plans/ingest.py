@@ -1,32 +1,25 @@
-"""From messages to destination tables."""
+"""From messages to destination tables.
+
+A batch is decoded once into a stage folder. All its tables are then handled together:
+schemas, conflicts, ids and metrics are joins and aggregates over table names. Only values
+are cast schema by schema, so the number of Spark jobs grows with the distinct schemas of a
+batch and not with its tables.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor
-from itertools import islice
-from urllib.parse import quote
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, Row, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tabloom.functions.canonical import row_hash
-from tabloom.operators.dedupe import assign_ids, dedupe_batch, skip_existing
+from tabloom.operators.dedupe import assign_ids, dedupe_batch
 from tabloom.operators.envelope import decode_messages, first_schemas, malformed, well_formed
-from tabloom.operators.load import judge_rows, unknown_columns, unpack_typed
+from tabloom.operators.load import judge_rows, unpack_typed
 from tabloom.sources.tables import TableStore
 from tabloom.sources.topic import with_positions
 
-STAGED_DDL = (
-    "_row_hash string, record map<string,string>, columns array<struct<name string, type string>>, "
-    "partition int, offset bigint, copies bigint, table_name string"
-)
-REJECT_DDL = "stage string, key string, reason string, payload string, batch_id bigint"
-METRIC_DDL = "batch_id bigint, table_name string, received bigint, inserted bigint, rejected bigint"
-
-# Tables written side by side; each append is its own Spark job.
-PARALLEL_TABLES = 8
-# Table names held on the driver at a time.
-TABLES_PER_ROUND = 500
+PREFIX_DIGITS = 2
 
 
 def hashed_records(decoded: DataFrame) -> DataFrame:
@@ -47,99 +40,92 @@ def hashed_records(decoded: DataFrame) -> DataFrame:
     )
 
 
-def stage_batch(decoded: DataFrame, path: str) -> DataFrame:
-    """Write the distinct records of a batch once, a folder per table, and read them back.
+def _staged(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    Every later step of the batch reads this table: nothing is decoded twice and
-    each destination only reads its own folder. The rebalance hint splits a table
-    that dominates the batch and packs small ones together.
-    """
-    records = hashed_records(well_formed(decoded)).hint("rebalance", "table_name")
-    records.write.mode("overwrite").partitionBy("table_name").parquet(path)
-    return decoded.sparkSession.read.schema(STAGED_DDL).parquet(path)
+
+def skip_stored(records: DataFrame, store: TableStore, batch: str) -> DataFrame:
+    """Records that no earlier batch has stored. The key index is read only where it can
+    hold one of the batch's hashes."""
+    prefix = F.substring("_row_hash", 1, PREFIX_DIGITS)
+    prefixes = [r["p"] for r in records.select(prefix.alias("p")).distinct().collect()]  # at most 16 ** PREFIX_DIGITS
+    held = store.keys(prefixes).filter(F.col("_batch") != batch).select("table_name", "_row_hash")
+    return records.join(held, ["table_name", "_row_hash"], "left_anti")
 
 
-def batch_tables(staged: DataFrame) -> DataFrame:
-    """Per table of a staged batch: first schema, number of schemas, distinct records, messages received."""
-    first = first_schemas(staged.withColumn("schema", F.struct("table_name", "columns")))
-    sizes = staged.groupBy("table_name").agg(
-        F.count(F.lit(1)).alias("n_records"), F.sum("copies").cast("bigint").alias("received")
+def _reject_rows(judged: DataFrame, batch_id: int) -> DataFrame:
+    return judged.filter(F.col("reason").isNotNull()).select(
+        F.lit("load").alias("stage"),
+        F.concat_ws("/", "table_name", "partition", "offset").alias("key"),
+        "reason",
+        F.concat(F.lit('{"detail":'), "detail", F.lit(',"record":'), F.to_json("record"), F.lit("}")).alias("payload"),
+        F.lit(batch_id).cast("bigint").alias("batch_id"),
     )
-    return first.join(sizes, "table_name").select("table_name", "columns", "n_schemas", "n_records", "received")
 
 
-def load_table(store: TableStore, staged: DataFrame, table: Row, batch_id: int) -> tuple:
-    """Append the new, storable records of one table; returns its metric row.
+def ingest_batch(messages: DataFrame, batch_id: int, store: TableStore, stage_path: str, run: str = "run") -> None:
+    """Load one batch of messages. ``run`` names the consumer: batches of different runs keep
+    their rejects and metrics apart. Safe to repeat: a second attempt writes the same again.
 
-    The stored schema decides. Records that name unknown columns or hold values
-    their column cannot take are rejected with the reason; the rest proceed.
-    Conflicts and ids only need the hash, so they are settled before any value
-    is parsed; a rejected record leaves a gap in the ids.
+    The stored schema of a table decides. Records that name unknown columns or hold values
+    their column cannot take are rejected with the reason; the rest proceed. Conflicts and
+    ids only need the hash and are settled before any value is parsed; a rejected record
+    leaves a gap in the ids.
     """
-    name, n_records = table["table_name"], table["n_records"]
-    columns = store.ensure(name, [(c["name"], c["type"]) for c in table["columns"]])
-    stored = [n for n, _ in columns]
-    strangers = F.size(unknown_columns(F.col("columns"), stored)) > 0
-    may_have_strangers = table["n_schemas"] > 1 or not {c["name"] for c in table["columns"]} <= set(stored)
-
-    records = staged.filter(F.col("table_name") == name)
-    fresh = records.filter(~strangers) if may_have_strangers else records
-    last_id = store.max_id(name)
-    if last_id:
-        fresh = skip_existing(fresh, store.read(name), ["_row_hash"], n_records)
-    numbered = assign_ids(fresh, ["table_name"], last_id, known_rows=n_records)
-    turned_away, appended = Observation(), Observation()
-    judged = judge_rows(numbered, columns).observe(turned_away, F.count("reason").alias("n"))
-    storable = judged.filter(F.col("reason").isNull())
-    if table["n_schemas"] > 1:
-        storable = dedupe_batch(storable, ["_row_hash"])
-    rows = storable.select("_id", "_row_hash", *unpack_typed(columns))
-    store.append(name, rows.observe(appended, F.count(F.lit(1)).alias("n")))
-
-    rejected = 0
-    if may_have_strangers or turned_away.get["n"]:
-        suspects = fresh.unionByName(records.filter(strangers)) if may_have_strangers else fresh
-        rejected = _write_rejects(store, judge_rows(suspects, columns), name, batch_id)
-    return (batch_id, name, table["received"], appended.get["n"], rejected)
-
-
-def _write_rejects(store: TableStore, judged: DataFrame, name: str, batch_id: int) -> int:
-    """Bad records of one table in one batch; a replay of the batch writes the same file again."""
-    count = Observation()
-    bad = judged.filter(F.col("reason").isNotNull()).select(
-        F.lit("load").alias("stage"),
-        F.concat_ws("/", F.col("table_name"), F.col("partition"), F.col("offset")).alias("key"),
+    batch = f"{run}-{batch_id}"
+    decoded = decode_messages(with_positions(messages))
+    decoded = decoded.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value")))
+    staged = _staged(decoded.select("value", "partition", "offset", "schema", "record", "reason"), f"{stage_path}/decoded")
+    good = well_formed(staged)
+    store.ensure_all(first_schemas(good), batch)
+    records = _staged(hashed_records(good), f"{stage_path}/records")
+    stored = store.registry().select("table_name", F.col("columns").alias("stored"))
+    known = records.join(stored, "table_name")
+    names = lambda c: F.transform(c, lambda x: x["name"])
+    strange = F.size(F.array_except(names(F.col("columns")), names(F.col("stored")))) > 0
+
+    fresh = dedupe_batch(skip_stored(known.filter(~strange), store, batch), ["table_name", "_row_hash"])
+    fresh = _staged(fresh, f"{stage_path}/fresh")
+    numbered = assign_ids(fresh, ["table_name"], store.last_ids(batch))
+    candidates = _staged(
+        numbered.unionByName(known.filter(strange).withColumn("_id", F.lit(None).cast("bigint"))), f"{stage_path}/candidates"
+    )
+
+    common = ["table_name", "_row_hash", "_id", "record", "partition", "offset", "reason", "detail"]
+    judged: list[DataFrame] = []
+    for number, row in enumerate(candidates.select("stored").distinct().collect()):  # a row for each distinct schema
+        columns = [(c["name"], c["type"]) for c in row["stored"]]
+        this = F.to_json(F.struct("stored")) == F.to_json(F.struct(F.array(*[F.struct(F.lit(n).alias("name"), F.lit(t).alias("type")) for n, t in columns]).alias("stored")))
+        one = _staged(judge_rows(candidates.filter(this), columns).select(*common, "typed"), f"{stage_path}/judged-{number}")
+        store.append(batch, one.filter(F.col("reason").isNull()).select("table_name", "_id", "_row_hash", *unpack_typed(columns)))
+        judged.append(one.select(*common))
+
+    every = reduce(DataFrame.unionByName, judged) if judged else candidates.limit(0).withColumns({"reason": F.lit(None).cast("string"), "detail": F.lit(None).cast("string")}).select(*common)
+    keys = every.filter(F.col("reason").isNull()).select(
+        "table_name", "_row_hash", "_id", F.substring("_row_hash", 1, PREFIX_DIGITS).alias("prefix")
+    )
+    store.write("keys", batch, keys.hint("rebalance", "prefix"), "prefix")
+    unread = malformed(staged).select(
+        F.lit("decode").alias("stage"),
+        F.concat_ws("/", F.col("partition"), F.col("offset")).alias("key"),
         "reason",
-        F.concat(F.lit('{"detail":'), "detail", F.lit(',"record":'), F.to_json("record"), F.lit("}")).alias("payload"),
+        F.col("value").alias("payload"),
         F.lit(batch_id).cast("bigint").alias("batch_id"),
     )
-    bad.observe(count, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
-        f"{store.root}/rejects/batch={batch_id}/part={quote(name, safe='')}"
+    store.write("rejects", batch, unread.unionByName(_reject_rows(every, batch_id)))
+    received = records.groupBy("table_name").agg(F.sum("copies").cast("bigint").alias("received"))
+    outcome = every.groupBy("table_name").agg(
+        F.count(F.when(F.col("reason").isNull(), 1)).alias("inserted"),
+        F.count("reason").alias("rejected"),
+        F.max(F.when(F.col("reason").isNull(), F.col("_id"))).alias("_last"),
     )
-    return count.get["n"]
-
-
-def _rounds(rows: Iterator[Row]) -> Iterator[list[Row]]:
-    while group := list(islice(rows, TABLES_PER_ROUND)):
-        yield group
-
-
-def ingest_batch(messages: DataFrame, batch_id: int, store: TableStore, stage_path: str) -> None:
-    """Load one batch of messages. Safe to repeat: a second run finds its rows already there."""
-    spark = store.spark
-    decoded = decode_messages(with_positions(messages)).persist()
-    try:
-        malformed(decoded).select(
-            F.lit("decode").alias("stage"),
-            F.concat_ws("/", F.col("partition"), F.col("offset")).alias("key"),
-            "reason",
-            F.col("value").alias("payload"),
-            F.lit(batch_id).cast("bigint").alias("batch_id"),
-        ).write.mode("overwrite").parquet(f"{store.root}/rejects/batch={batch_id}/part=_decode")
-        staged = stage_batch(decoded, stage_path)
-    finally:
-        decoded.unpersist()
-    for group in _rounds(batch_tables(staged).toLocalIterator()):
-        with ThreadPoolExecutor(PARALLEL_TABLES) as pool:
-            metrics = list(pool.map(lambda t: load_table(store, staged, t, batch_id), group))
-        spark.createDataFrame(metrics, METRIC_DDL).coalesce(1).write.mode("append").parquet(f"{store.root}/metrics")
+    counted = received.join(outcome, "table_name", "left").join(store.last_ids(batch), "table_name", "left")
+    store.write("metrics", batch, counted.select(
+        F.lit(batch_id).cast("bigint").alias("batch_id"),
+        "table_name",
+        "received",
+        F.coalesce("inserted", F.lit(0)).alias("inserted"),
+        F.coalesce("rejected", F.lit(0)).alias("rejected"),
+        F.coalesce("_last", "max_id", F.lit(0)).cast("bigint").alias("last_id"),
+    ))

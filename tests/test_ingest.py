@@ -46,11 +46,6 @@ def test_filters_do_not_decode_again(spark):
     assert plan.count("static_invoke(VariantExpressionEvalUtils.parseJson") <= 1 and plan.count("parse_json") <= 2
 
 
-def test_project_record(spark):
-    df = spark.createDataFrame([({"a": "1", "b": "", "x": "drop"},)], "record map<string,string>")
-    assert tuple(df.select(*envelope.project_record(F.col("record"), ["a", "b", "c"])).first()) == ("1", None, None)
-
-
 def test_judge_rows(spark):
     records = [{"a": "1,000", "b": "05/06/2024"}, {"a": "x"}, {"b": "2024-01-01 10:00:00", "z": "kept out"}, {"a": "", "b": "soon"}]
     df = spark.createDataFrame([(r,) for r in records], "record map<string,string>").withColumn(
@@ -114,31 +109,88 @@ def test_a_bad_copy_does_not_take_a_good_one_along(spark, tmp_path):
     assert [r["a"] for r in store.read("t").collect()] == [1]
 
 
-def test_failed_batch_is_replayed(spark, tmp_path, monkeypatch):
-    """A crash after the first table was written loses nothing and doubles nothing."""
+@pytest.mark.parametrize("fails_in", ["tables", "keys", "rejects", "metrics"])
+def test_failed_batch_is_replayed(spark, tmp_path, monkeypatch, fails_in):
+    """A crash after any write loses nothing, doubles nothing and leaves true metrics."""
     store = TableStore(spark, str(tmp_path / "store"))
-    values = [message(f"t{i % 3}", {"a": str(i)}) for i in range(30)]
+    columns = [(("a", "BIGINT"),), (("a", "BIGINT"),), (("a", "BIGINT"), ("c", "TEXT"))]
+    values = [message(f"t{i % 3}", {"a": str(i)}, columns[i % 3]) for i in range(30)] + [message("t0", {"a": "bad"}, columns[0])]
     topic.publish(frame(spark, values), "parquet", partitions=1, path=str(tmp_path / "topic"))
 
     def run():
         stream = topic.stream_topic(spark, "parquet", topic.POSITIONED_DDL, path=str(tmp_path / "topic"))
         start_ingest(stream, store, str(tmp_path / "progress"), interval=None).awaitTermination()
 
-    real = ingest.load_table
+    real, real_append, calls = TableStore.write, TableStore.append, []
 
-    def fails_on_last(s, staged, table, batch_id):
-        if table["table_name"] == "t2":
+    def append(self, *given):
+        calls.append(given)
+        if fails_in == "tables" and len(calls) == 2:
             raise RuntimeError("lost")
-        return real(s, staged, table, batch_id)
+        real_append(self, *given)
 
-    monkeypatch.setattr(ingest, "load_table", fails_on_last)
+    def write(self, part, *given):
+        if part == fails_in:
+            raise RuntimeError("lost")
+        real(self, part, *given)
+
+    monkeypatch.setattr(TableStore, "append", append)
+    monkeypatch.setattr(TableStore, "write", write)
     with pytest.raises(Exception):
         run()
-    monkeypatch.setattr(ingest, "load_table", real)
+    monkeypatch.setattr(TableStore, "append", real_append)
+    monkeypatch.setattr(TableStore, "write", real)
     run()
     run()
-    assert {n: store.read(n).count() for n in ("t0", "t1", "t2")} == {"t0": 10, "t1": 10, "t2": 10}
-    assert all(store.read(n).select("_id").distinct().count() == 10 for n in ("t0", "t1", "t2"))
+    assert {n: store.read(n).count() for n in store.names()} == {"t0": 10, "t1": 10, "t2": 10}
+    assert all(store.read(n).select("_id").distinct().count() == 10 for n in store.names())
+    metrics = {r["table_name"]: (r["received"], r["inserted"], r["rejected"]) for r in store.metrics().collect()}
+    assert metrics == {"t0": (11, 10, 1), "t1": (10, 10, 0), "t2": (10, 10, 0)}
+    assert [r["reason"] for r in store.rejects().collect()] == ["bad_value"]
+
+
+def test_runs_keep_their_rejects(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "store"))
+    for run in ("one", "two"):
+        ingest.ingest_batch(frame(spark, [GOOD, run]), 0, store, str(tmp_path / run), run)
+    assert sorted(r["payload"] for r in store.rejects().collect()) == ["one", "two"]
+    assert sorted(r["inserted"] for r in store.metrics().collect()) == [0, 1]
+
+
+def test_jobs_follow_schemas_not_tables(spark, tmp_path):
+    def jobs(tables):
+        group = f"count-{tables}"
+        spark.sparkContext.setJobGroup(group, group)
+        store = TableStore(spark, str(tmp_path / group))
+        ingest.ingest_batch(frame(spark, [message(f"t{i}", {"a": "1"}) for i in range(tables)]), 0, store, str(tmp_path / f"{group}-stage"))
+        assert len(store.names()) == tables
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    assert jobs(150) <= jobs(3) + 3
+
+
+def test_only_hit_folders_of_the_index_are_read(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "store"))
+    ingest.ingest_batch(frame(spark, [message("t", {"a": str(i)}) for i in range(300)]), 0, store, str(tmp_path / "stage"))
+    one = store.keys(["00"])
+    one.collect()
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(prefix" in plan or "PartitionFilters: [(prefix" in plan
+    assert {r["prefix"] for r in one.collect()} == {"00"} and store.keys([]).count() == 0
+
+
+UNUSABLE = {
+    message("", {"a": "1"}): "bad_table_name", message(" ", {"a": "1"}): "bad_table_name", message("n" * 300, {"a": "1"}): "bad_table_name",
+    message("t", {"a": "1"}, (("a", "TEXT"), ("A", "TEXT"))): "bad_schema", message("t", {"a": "1"}, (("_ID", "TEXT"),)): "bad_schema",
+    message("t", {"a": "1"}, (("_row_hash", "TEXT"),)): "bad_schema", message("t", {"a": "1"}, (("", "TEXT"),)): "bad_schema",
+}
+
+
+def test_unusable_names_are_set_aside(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "store"))
+    ingest.ingest_batch(frame(spark, [*UNUSABLE, GOOD]), 0, store, str(tmp_path / "stage"))
+    assert {r["payload"]: r["reason"] for r in store.rejects().collect()} == UNUSABLE
+    assert store.names() == ["t"] and store.read("t").count() == 1
 
 
 def test_text_topic_without_offsets(spark, tmp_path):

@@ -22,8 +22,6 @@ from workload.base import (
 from workload.fixtures import ORDER_COLUMNS
 from workload.messages import GOOD_EVENTS, event_messages
 
-EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
-
 # ---- typed loads ----
 
 _NUMBERED = f"(SELECT *, {sql_number_text('value')} AS n FROM {LINEITEM_VALUES})"
@@ -154,8 +152,8 @@ def plain_messages(t: Tables) -> DataFrame:
 
 
 def loaded(store: TableStore) -> DataFrame:
-    """All event tables of a store, one below the other."""
-    tables = [store.read(n).select(F.lit(n).alias("table_name"), "*") for n in EVENT_TYPES]
+    """All tables of a store, one below the other."""
+    tables = [store.read(n).select(F.lit(n).alias("table_name"), "*") for n in store.names()]
     return reduce(DataFrame.unionByName, tables)
 
 
@@ -171,14 +169,13 @@ _COLUMN_VALUES = ", ".join(f"({i}, '{n}', '{d}')" for i, (n, d) in enumerate(ORD
     f"SELECT table_name, c.pos, c.name, c.type FROM (SELECT DISTINCT event_type AS table_name FROM events), (VALUES {_COLUMN_VALUES}) c(pos, name, type)",
 )
 def ensure_table(t: Tables) -> DataFrame:
-    """Create each table twice: the first schema stays."""
+    """Create all tables, then again with another schema: the first one stays."""
     store = new_store(t, "ensure")
-    stored = []
-    for (name,) in t.events.select("event_type").distinct().toLocalIterator():
-        store.ensure(name, ORDER_COLUMNS)
-        columns = store.ensure(name, [("other", "TEXT")])
-        stored += [(name, i, n, d) for i, (n, d) in enumerate(columns)]
-    return t.spark.createDataFrame(stored, "table_name string, pos int, name string, type string")
+    names = t.events.select(F.col("event_type").alias("table_name")).distinct()
+    for batch, columns in enumerate((ORDER_COLUMNS, [("other", "TEXT")])):
+        listed = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(d).alias("type")) for n, d in columns])
+        store.ensure_all(names.withColumn("columns", listed), f"ensure-{batch}")
+    return store.registry().select("table_name", F.posexplode("columns").alias("pos", "c")).select("table_name", "pos", "c.name", "c.type")
 
 
 @query("sink_append", f"SELECT DISTINCT table_name, row_hash FROM {_HASHED}")
@@ -265,6 +262,45 @@ def stream_fanout(t: Tables) -> DataFrame:
     )
 
 
+_BAD_NAME = "CASE user_id % 5 WHEN 0 THEN '' WHEN 1 THEN repeat('n', 300) ELSE event_type END"
+_BAD_COLUMN = "CASE user_id % 7 WHEN 0 THEN 'Kind' WHEN 1 THEN '_id' WHEN 2 THEN '_row_hash' ELSE 'more' END"
+
+
+@query(
+    "ingest_bad_schemas",
+    "SELECT outcome, aside, CASE WHEN aside THEN count(*) ELSE count(DISTINCT (event_type, user_id)) END AS n_rows FROM "
+    "(SELECT *, outcome <> 'stored' AS aside FROM (SELECT event_type, user_id, CASE WHEN user_id % 5 < 2 THEN 'bad_table_name' "
+    "WHEN user_id % 7 < 3 THEN 'bad_schema' ELSE 'stored' END AS outcome FROM events)) GROUP BY 1, 2",
+)
+def ingest_bad_schemas(t: Tables) -> DataFrame:
+    """Names and columns no table can have are set aside; good tables of the same batch load."""
+    text = (
+        """concat('{"schema":{"table_name":"', """ + _BAD_NAME + """, '","columns":[{"name":"kind","type":"TEXT"},{"name":"', """ + _BAD_COLUMN
+        + """, '","type":"TEXT"}]},"record":{"kind":"', event_type, '","more":"', user_id, '"}}')"""
+    )
+    store = new_store(t, "bad-schemas")
+    ingest_batch(t.events.select(F.expr(text).alias("value")), 0, store, f"{store.root}/stage")
+    aside = store.rejects().groupBy(F.col("reason").alias("outcome")).agg(F.count("*").alias("n_rows"))
+    kept = loaded(store).agg(F.lit("stored").alias("outcome"), F.count("*").alias("n_rows"))
+    return aside.withColumn("aside", F.lit(True)).unionByName(kept.withColumn("aside", F.lit(False)))
+
+
+@query(
+    "ingest_many_tables",
+    "SELECT 'user_' || user_id AS table_name, count(DISTINCT event_type) AS n_rows, count(DISTINCT event_type) AS last_id, "
+    "count(*) * 2 AS received FROM events GROUP BY 1",
+)
+def ingest_many_tables(t: Tables) -> DataFrame:
+    """A table for each user, loaded twice: jobs follow schemas, not tables."""
+    text = """concat('{"schema":{"table_name":"user_', user_id, '","columns":[{"name":"kind","type":"TEXT"}]},"record":{"kind":"', event_type, '"}}')"""
+    store = new_store(t, "many")
+    for batch in (0, 1):
+        ingest_batch(t.events.select(F.expr(text).alias("value")), batch, store, f"{store.root}/stage-{batch}")
+    return store.metrics().groupBy("table_name").agg(
+        F.sum("inserted").alias("n_rows"), F.max("last_id").alias("last_id"), F.sum("received").alias("received")
+    )
+
+
 @query(
     "schema_drift",
     f"SELECT event_type AS table_name, 'unknown_column' AS reason, count(DISTINCT (user_id, event_id % 10 = 3)) AS n_rows "
