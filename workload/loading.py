@@ -78,9 +78,17 @@ TYPED_ORDERS_SQL = """SELECT o_orderkey // 100 AS page_id, o_orderstatus AS stat
 
 @query("typed_table", TYPED_ORDERS_SQL)
 def typed_table(t: Tables) -> DataFrame:
-    """Pages to typed rows: extraction, inference, naming, records and the typed projection."""
-    records = records_with_schema(extract_tables(fixtures.orders_pages(t), "wikitable"))
-    return records.select("page_id", *load.typed_columns(F.col("record"), ORDER_COLUMNS))
+    """Pages to typed rows: extraction, inference, naming, records and a load by the inferred types."""
+    path = work_dir(t.spark, "records")
+    records_with_schema(extract_tables(fixtures.orders_pages(t), "wikitable")).select("page_id", "schema.columns", "record").write.parquet(path)
+    records = t.spark.read.parquet(path)
+    parts = []
+    for row in records.select("columns").distinct().collect():  # a row for each distinct schema
+        columns = [(c["name"], c["type"]) for c in row["columns"]]
+        types = F.transform("columns", lambda c: F.concat_ws(" ", c["name"], c["type"]))
+        mine = records.filter(types == F.array(*[F.lit(f"{n} {d}") for n, d in columns]))
+        parts.append(mine.select("page_id", *load.typed_columns(F.col("record"), columns)))
+    return reduce(DataFrame.unionByName, parts)
 
 
 # ---- de-duplication ----
@@ -262,6 +270,42 @@ def stream_fanout(t: Tables) -> DataFrame:
     )
 
 
+_BOUND = 500
+
+
+@query(
+    "stream_count_bound",
+    f"SELECT CAST(ceil(count(*) / {_BOUND}.0) AS BIGINT) AS n_batches, (SELECT count(*) FROM {GOOD_EVENTS}) AS received, true AS bounded FROM events",
+)
+def stream_count_bound(t: Tables) -> DataFrame:
+    """Micro-batches of a bounded number of messages: files of so many, one file a batch."""
+    store = new_store(t, "bound")
+    topic.publish(plain_messages(t).coalesce(1), "parquet", batch_size=_BOUND, path=f"{store.root}-topic")
+    stream = topic.stream_topic(t.spark, "parquet", topic.POSITIONED_DDL, batch_size=1, path=f"{store.root}-topic")
+    start_ingest(stream, store, f"{store.root}-progress", interval=None).awaitTermination()
+    batches = store.metrics().groupBy("batch_id").agg(F.sum("received").alias("received"))
+    return batches.agg(
+        F.count("*").alias("n_batches"), F.sum("received").alias("received"), (F.max("received") <= _BOUND).alias("bounded")
+    )
+
+
+@query(
+    "stream_timed_stop",
+    f"SELECT table_name, count(DISTINCT row_hash) AS n_rows, count(*) AS received FROM {_HASHED} GROUP BY 1",
+)
+def stream_timed_stop(t: Tables) -> DataFrame:
+    """A timed trigger, stopped by hand after the first half and started again for the second."""
+    store = new_store(t, "timed")
+    for part in ("offset % 2 = 0", "offset % 2 = 1"):
+        topic.publish(plain_messages(t).filter(part), "parquet", partitions=1, path=f"{store.root}-topic")
+        stream = topic.stream_topic(t.spark, "parquet", topic.POSITIONED_DDL, path=f"{store.root}-topic")
+        running = start_ingest(stream, store, f"{store.root}-progress", interval="1 second")
+        running.processAllAvailable()
+        running.stop()
+    sizes = loaded(store).groupBy("table_name").agg(F.count("*").alias("n_rows"))
+    return sizes.join(store.metrics().groupBy("table_name").agg(F.sum("received").alias("received")), "table_name")
+
+
 _BAD_NAME = "CASE user_id % 5 WHEN 0 THEN '' WHEN 1 THEN repeat('n', 300) ELSE event_type END"
 _BAD_COLUMN = "CASE user_id % 7 WHEN 0 THEN 'Kind' WHEN 1 THEN '_id' WHEN 2 THEN '_row_hash' ELSE 'more' END"
 
