@@ -91,6 +91,25 @@ def infer_schema(t: Tables) -> DataFrame:
     return schemas.select("page_id", F.posexplode("columns").alias("pos", "c")).select("page_id", "pos", "c.name", "c.type")
 
 
+_MIXED = {"BIGINT": "p_size", "DOUBLE": "format_number(p_retailprice, 2)", "VARCHAR(512)": "p_brand", "DATE": "concat('2024-01-', 10 + p_size % 20)"}
+
+
+@query(
+    "infer_schema_by_page",
+    "SELECT page_id, v.pos, CASE v.pos WHEN 0 THEN 'first' ELSE 'second' END AS name, CASE (page_id + v.pos) % 4 "
+    + " ".join(f"WHEN {i} THEN '{d}'" for i, d in enumerate(_MIXED))
+    + " END AS type FROM (SELECT DISTINCT p_partkey // 50 AS page_id FROM part), (VALUES (0), (1)) v(pos)",
+)
+def infer_schema_by_page(t: Tables) -> DataFrame:
+    """Two columns whose types change from page to page."""
+    page = "(p_partkey div 50)"
+    cell = lambda pos: f"CASE ({page} + {pos}) % 4 " + " ".join(f"WHEN {i} THEN CAST({x} AS STRING)" for i, x in enumerate(_MIXED.values())) + " END"
+    row = f"concat('<tr><td>', {cell(0)}, '<td>', {cell(1)})"
+    pages = fixtures.render(t.part, page, ["p_partkey"], row, "'<table><tr><th>First<th>Second'", "'</table>'")
+    schemas = infer_schemas(place_by_page(extract_tables(pages)))
+    return schemas.select("page_id", F.posexplode("columns").alias("pos", "c")).select("page_id", "pos", "c.name", "c.type")
+
+
 def _ddl(t: Tables, dialect: str) -> DataFrame:
     schemas = infer_schemas(place_by_page(extract_tables(fixtures.orders_pages(t), "wikitable")))
     name = F.concat(F.lit("orders_"), F.col("page_id").cast("string"))

@@ -329,6 +329,26 @@ def ingest_bad_schemas(t: Tables) -> DataFrame:
     return aside.withColumn("aside", F.lit(True)).unionByName(kept.withColumn("aside", F.lit(False)))
 
 
+_VALUE = "CASE WHEN event_id % 11 = 0 THEN 'x' || (event_id % 30) ELSE CAST(event_id % 50 AS STRING) END"
+
+
+@query(
+    "ingest_bad_values",
+    "SELECT table_name, outcome, count(DISTINCT value) AS n_rows FROM (SELECT event_type AS table_name, "
+    f"CASE WHEN event_id % 11 = 0 THEN 'bad_value' ELSE 'stored' END AS outcome, {_VALUE.replace('STRING', 'VARCHAR')} AS value FROM events) GROUP BY 1, 2",
+)
+def ingest_bad_values(t: Tables) -> DataFrame:
+    """Values their column cannot take are set aside by the loader; the rest of the batch is stored."""
+    text = (
+        """concat('{"schema":{"table_name":"', event_type, '","columns":[{"name":"n","type":"BIGINT"}]},"record":{"n":"', """ + _VALUE + """, '"}}')"""
+    )
+    store = new_store(t, "bad-values")
+    ingest_batch(t.events.select(F.expr(text).alias("value")), 0, store, f"{store.root}/stage")
+    aside = store.rejects().groupBy(F.split_part("key", F.lit("/"), F.lit(1)).alias("table_name"), F.col("reason").alias("outcome"))
+    kept = loaded(store).groupBy("table_name", F.lit("stored").alias("outcome"))
+    return aside.agg(F.count("*").alias("n_rows")).unionByName(kept.agg(F.count("n").alias("n_rows")))
+
+
 @query(
     "ingest_many_tables",
     "SELECT 'user_' || user_id AS table_name, count(DISTINCT event_type) AS n_rows, count(DISTINCT event_type) AS last_id, "
