@@ -3,15 +3,19 @@
 A document is the set of its distinct word n-grams, each a 64-bit hash. Sets are ordered
 by one global order: hashes that stand early in many sets come last, the others by value.
 Two sets of similarity t share one of their first ``n - ceil(t n) + 1`` entries, so sets
-meet in blocks, one for each entry there that two sets or more have. In a block a prefix
-tree of the ordered sets yields the similar pairs exactly.
+meet in blocks, one for each entry there that two sets or more have; entries with the same
+sets share one. A block beyond ``block_sets`` is cut into slices, and every two slices meet
+in a block of their own, so no task holds more and no pair is lost.
 
-Large families of near copies share all these entries. They are first joined by their
-smallest hashes under a few orders, one block for each; an entry all of whose sets are
-connected by then needs no block. Of the others, entries with the same sets share one. A
-block beyond ``block_sets`` is cut into slices, and every two slices meet in a block of
-their own, so no task holds more and no pair is lost. Only pairs that connect what was not
-yet connected are emitted.
+A set first brings only its size and the counts of its entries by hash class. Differences
+of these counts bound the overlap of two sets; who has no possible partner in a block
+leaves it. The texts of those that stay are brought together, and a prefix tree of their
+ordered sets yields the similar pairs exactly.
+
+Sets that blocks connect, directly or by others, usually are few; then they meet once, all
+together. Larger families are joined beforehand by their smallest hashes under a few
+orders, one block for each; of their blocks those are left out all of whose sets are
+connected by then. Only pairs that connect what was not yet connected are emitted.
 
 Equal sets are one node; its key is 64 bits of the set's hashes. Null texts and texts
 without a word have an empty set, linked with nothing. Null doc_ids never name a
@@ -31,14 +35,16 @@ from tabloom.llm.common import (
     LOWER, byte_class, find_words, lists, mix, prefix_sums, row_bounds, shingles, signed, slices, span_hash, stored,
 )
 from tabloom.llm.components import connected_components
-from tabloom.llm.prefix_tree import linking_pairs
+from tabloom.llm.prefix_tree import least_overlap, linking_pairs
 
 SIZE = 3
 PERCENT = 90
-BLOCK_SETS = 512
+BLOCK_SETS = 2048
 COMMON_SETS = 64
 COMMON_ENTRIES = 1_000_000
-ORDERS = 3
+ORDERS = 2
+LEAST_CLASSES = 64
+ENTRIES_A_CLASS = 8
 _WORD = ~byte_class((9, 13), (32, 32))
 
 
@@ -62,24 +68,57 @@ def prefix_length(n: int, percent: int) -> int:
 
 def common_entries(documents: DataFrame, size: int, percent: int, limit: int = COMMON_ENTRIES) -> np.ndarray:
     """Hashes that stand in the first places of many documents, sorted. At most ``limit``:
-    what is asked of an entry grows with the number of entries counted."""
+    what is asked of an entry grows with the number of entries counted. A task reports the
+    entries it meets more than once. Any order joins the same; this one makes blocks small."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        entry, n, parts, waiting = np.empty(0, np.uint64), np.empty(0, np.int64), [], 0
+
+        def merge() -> None:
+            nonlocal entry, n, waiting
+            every = np.concatenate([entry, *parts])
+            weight = np.concatenate([n, np.ones(len(every) - len(entry), np.int64)])
+            entry, inverse = np.unique(every, return_inverse=True)
+            n = np.bincount(inverse, weights=weight, minlength=len(entry)).astype(np.int64)
+            parts.clear()
+            waiting = 0
+
         for batch in batches:
             for _, _, data, offsets in slices(batch.column(0)):
                 first = [s[: prefix_length(len(s), percent)] for s in document_sets(data, offsets, size) if len(s)]
-                entry, n = np.unique(np.concatenate(first or [np.empty(0, np.uint64)]), return_counts=True)
-                yield pa.record_batch([signed(entry), pa.array(n.astype(np.int64))], names=["entry", "n"])
+                parts += first
+                waiting += sum(map(len, first))
+                if waiting > 1 << 20:
+                    merge()
+        merge()
+        yield pa.record_batch([signed(entry[n > 1]), pa.array(n[n > 1])], names=["entry", "n"])
 
     counts = documents.select("text").mapInArrow(count, "entry long, n long").groupBy("entry").agg(F.sum("n").alias("n"))
-    counts = stored(counts.where(F.col("n") > 1), "entry-counts")
+    counts = stored(counts, "entry-counts")
     total = counts.agg(F.sum("n")).first()[0] or 0
     common = counts.where(F.col("n") >= max(COMMON_SETS, -(-total // limit))).select("entry").toArrow()
     return np.sort(common.column(0).to_numpy().astype(np.int64).view(np.uint64))
 
 
+def class_counts(entries: np.ndarray) -> bytes:
+    """How many entries fall in each hash class. Large sets have more classes, in powers of
+    two, so that a class holds few: only then do the counts tell sets apart."""
+    classes = LEAST_CLASSES
+    while classes * ENTRIES_A_CLASS < len(entries):
+        classes *= 2
+    counts = np.bincount((entries & np.uint64(classes - 1)).astype(np.int64), minlength=classes)
+    return np.minimum(counts, 65535).astype("<u2").tobytes()
+
+
+def fold(counts: np.ndarray, classes: int) -> np.ndarray:
+    """Counts by half as many classes, and so on."""
+    while len(counts) > classes:
+        counts = counts[: len(counts) // 2] + counts[len(counts) // 2 :]
+    return counts
+
+
 def describe(documents: DataFrame, common: np.ndarray, size: int, percent: int) -> DataFrame:
-    """doc_id, n, node, first entries of the ordered set, smallest hash under each order."""
+    """doc_id, n, node, first entries of the ordered set, smallest hash under each order, class counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,29 +137,19 @@ def describe(documents: DataFrame, common: np.ndarray, size: int, percent: int)
                     pa.array([set_key(s) if len(s) else None for s in sets], pa.int64()),
                     lists(signed(np.concatenate(first)), bounds),
                     lists(signed(np.array(sum(least, []), np.uint64)), least_bounds),
+                    pa.array([class_counts(s) for s in sets], pa.binary()),
                 ]
-                yield pa.record_batch(columns, names=["doc_id", "n", "node", "first", "least"])
+                yield pa.record_batch(columns, names=["doc_id", "n", "node", "first", "least", "classes"])
 
-    schema = "doc_id long, n long, node long, first array<long>, least array<long>"
+    schema = "doc_id long, n long, node long, first array<long>, least array<long>, classes binary"
     return documents.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def contents(documents: DataFrame, nodes: DataFrame, described: DataFrame, size: int) -> DataFrame:
-    """node, entries: the sets of ``nodes``, as bytes, from one document of each."""
+def contents(documents: DataFrame, nodes: DataFrame, described: DataFrame) -> DataFrame:
+    """doc_id, text of a document for each of ``nodes``, with the node. Rows that repeat the
+    doc_id come too; their own sets tell them apart."""
     chosen = described.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("chosen"))
-    texts = documents.select("doc_id", "text").join(
-        chosen.select("chosen").distinct(), F.col("doc_id").eqNullSafe(F.col("chosen")), "left_semi"
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, _, data, offsets in slices(batch.column(0)):
-                sets = [s for s in document_sets(data, offsets, size) if len(s)]
-                columns = [pa.array([set_key(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
-                yield pa.record_batch(columns, names=["node", "entries"])
-
-    made = texts.select("text").mapInArrow(run, "node long, entries binary")
-    return made.join(nodes, "node", "left_semi").dropDuplicates(["node"])
+    return documents.select("doc_id", "text").join(chosen, F.col("doc_id").eqNullSafe(F.col("chosen"))).select("node", "text")
 
 
 def slice_blocks(members: DataFrame, most: int, every_pair: bool) -> DataFrame:
@@ -144,31 +173,84 @@ def slice_blocks(members: DataFrame, most: int, every_pair: bool) -> DataFrame:
     return whole.unionByName(met)
 
 
-def links(blocks: DataFrame, sets: DataFrame, groups: DataFrame | None, percent: int) -> DataFrame:
+def by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each block, from batches sorted by their first column."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        block = batch.column(0).to_numpy()
+        edges = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), len(block)]
+        for low, high in zip(edges[:-1], edges[1:]):
+            if high == low:
+                continue
+            if held and held[-1].column(0)[0].as_py() != block[low]:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(low, high - low))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def possible_members(blocks: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+    """(block, node) of nodes that sizes and class counts leave a partner in the block.
+    ``facts``: node, n, classes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in by_block(batches):
+            n = rows.column("n").to_numpy()
+            order = np.argsort(n, kind="stable")
+            n = n[order]
+            counts = [np.frombuffer(c.as_py(), "<u2").astype(np.int32) for c in rows.column("classes").take(pa.array(order))]
+            width = np.array([len(c) for c in counts])
+            partner = np.zeros(len(n), bool)
+            # Sizes ascend, and widths with them: k meets sets of its width or larger ones, folded.
+            for classes in np.unique(width).tolist():
+                begin, own = (int(np.searchsorted(width, classes, side)) for side in ("left", "right"))
+                stop = int(np.searchsorted(n, 100 * n[own - 1] // percent, "right"))
+                table = np.stack([fold(c, classes) for c in counts[begin:stop]])
+                for k in range(begin, own):
+                    end = min(int(np.searchsorted(n, 100 * n[k] // percent, "right")), stop)
+                    if end <= k + 1:
+                        continue
+                    room = n[k] + n[k + 1 : end] - 2 * least_overlap(n[k], n[k + 1 : end], percent)
+                    close = np.abs(table[k + 1 - begin : end - begin] - table[k - begin]).sum(axis=1) <= room
+                    if close.any():
+                        partner[k] = True
+                        partner[k + 1 : end] |= close
+            kept = pa.array(order[partner])
+            yield pa.record_batch([rows.column(i).take(kept).combine_chunks() for i in range(2)], names=["block", "node"])
+
+    rows = blocks.join(facts, "node").select("block", "node", "n", "classes")
+    return rows.repartition("block").sortWithinPartitions("block").mapInArrow(run, "block long, node long")
+
+
+def links(blocks: DataFrame, texts: DataFrame, groups: DataFrame | None, size: int, percent: int) -> DataFrame:
     """u, v: similar pairs that connect the nodes of each block beyond ``groups`` (node, component)."""
     rows = blocks.join(groups, "node", "left") if groups is not None else blocks.withColumn("component", F.col("node"))
-    rows = rows.select("block", "node", F.coalesce("component", "node").alias("component")).join(sets, "node")
+    rows = rows.select("block", "node", F.coalesce("component", "node").alias("component")).join(texts, "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, int, bytes]] = []
-        block = None
+        for rows in by_block(batches):
+            nodes = rows.column("node").to_numpy()
+            sets = [s for _, _, data, offsets in slices(rows.column("text")) for s in document_sets(data, offsets, size)]
+            own = [k for k, s in enumerate(sets) if set_key(s) == nodes[k]]
+            group = rows.column("component").to_numpy()[own]
+            found = linking_pairs([sets[k] for k in own], group, percent) if len(own) > 1 else []
+            pairs = np.array([(nodes[own[i]], nodes[own[j]]) for i, j in found], np.int64).reshape(-1, 2)
+            yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
+
+    dealt = rows.select("block", "node", "component", "text").repartition("block").sortWithinPartitions("block")
+    return dealt.mapInArrow(run, "u long, v long").distinct()
 
-        def pairs() -> pa.RecordBatch:
-            nodes = [n for n, _, _ in held]
-            found = linking_pairs([np.frombuffer(e, np.uint64) for _, _, e in held], np.array([g for _, g, _ in held]), percent) if len(held) > 1 else []
-            columns = [pa.array([nodes[i] for i, _ in found], pa.int64()), pa.array([nodes[j] for _, j in found], pa.int64())]
-            return pa.record_batch(columns, names=["u", "v"])
 
-        for batch in batches:
-            for b, node, group, entries in zip(*(c.to_pylist() for c in batch.columns)):
-                if b != block:
-                    yield pairs()
-                    held, block = [], b
-                held.append((node, group, entries))
-        yield pairs()
-
-    dealt = rows.select("block", "node", "component", "entries").repartition("block").sortWithinPartitions("block")
-    return dealt.mapInArrow(run, "u long, v long").distinct()
+def same_members(members: DataFrame) -> DataFrame:
+    """(block, node), one block for entries that have the same nodes; blocks have two at least."""
+    of_entry = members.groupBy("entry").agg(
+        F.count("*").alias("sets"),
+        F.bit_xor(F.xxhash64("node")).alias("mark"),
+        F.sum(F.col("node") % (1 << 40)).alias("sum"),
+    )
+    chosen = of_entry.where("sets > 1").groupBy("sets", "mark", "sum").agg(F.min("entry").alias("entry")).select("entry")
+    return members.join(chosen, "entry", "left_semi").select(F.col("entry").alias("block"), "node")
 
 
 def join_documents(
@@ -177,30 +259,33 @@ def join_documents(
     """doc_id, n_shingles, component_id: the smallest doc_id reachable by links."""
     common = common_entries(documents, size, percent)
     described = stored(describe(documents, common, size, percent), "sets")
-    nodes = described.where("n > 0").select("node", "first", "least").dropDuplicates(["node"])
-    entries = nodes.select(F.explode("first").alias("entry"), "node")
-    shared = entries.groupBy("entry").agg(F.count("*").alias("sets")).where("sets > 1").select("entry")
-    members = stored(entries.join(shared, "entry"), "entry-sets")
-    meeting = stored(members.select("node").distinct(), "meeting-sets")
-    sets = stored(contents(documents, meeting, described, size), "set-contents")
-
-    by_least = nodes.join(meeting, "node", "left_semi").select(F.posexplode("least").alias("order", "least"), "node")
+    entries = described.select(F.explode("first").alias("entry"), "node")
+    # Copies of one set count too; what only they share makes no block below.
+    shared = entries.groupBy("entry").agg(F.count("*").alias("places")).where("places > 1").select("entry")
+    members = stored(entries.join(shared, "entry").distinct(), "entry-sets")
+    meeting = members.select("node").distinct()
+    facts = described.join(meeting, "node", "left_semi").groupBy("node").agg(F.first("n").alias("n"), F.first("classes").alias("classes"))
+    blocks = slice_blocks(same_members(members), block_sets, every_pair=True)
+    close = stored(possible_members(blocks, facts, percent), "possible-members")
+    nodes = stored(close.select("node").distinct(), "possible-nodes")
+    texts = stored(contents(documents, nodes, described), "set-texts")
+
+    # Nodes that blocks connect, directly or not, are brought together once where they are few.
+    hubs = close.groupBy("block").agg(F.min("node").alias("hub"))
+    reach = stored(connected_components(close.join(hubs, "block").select(F.col("node").alias("u"), F.col("hub").alias("v"))), "reach")
+    sizes = reach.groupBy("component").agg(F.count("*").alias("size"))
+    small = reach.join(sizes.where(F.col("size") <= block_sets), "component").select(F.col("component").alias("block"), "node")
+    large = stored(reach.join(sizes.where(F.col("size") > block_sets), "component").select("node"), "large-reach")
+
+    by_least = described.join(large, "node", "left_semi").select(F.posexplode("least").alias("order", "least"), "node").distinct()
     early = slice_blocks(by_least.select(F.xxhash64("order", "least").alias("block"), "node"), block_sets, every_pair=False)
-    first_links = stored(links(early, sets, None, percent), "links")
+    first_links = stored(links(small.unionByName(early), texts, None, size, percent), "links")
     groups = stored(connected_components(first_links), "groups")
 
-    grouped = members.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = grouped.groupBy("entry").agg(
-        F.min("component").alias("low"),
-        F.max("component").alias("high"),
-        F.count("*").alias("sets"),
-        F.bit_xor(F.xxhash64("node")).alias("mark"),
-        F.sum(F.col("node") % (1 << 40)).alias("sum"),
-    )
-    chosen = mixed.where("low <> high").groupBy("sets", "mark", "sum").agg(F.min("entry").alias("entry")).select("entry")
-    blocks = members.join(chosen, "entry", "left_semi").select(F.col("entry").alias("block"), "node")
-    late = slice_blocks(blocks, block_sets, every_pair=True)
-    more_links = stored(links(late, sets, groups, percent), "links")
+    grouped = close.join(large, "node", "left_semi").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = grouped.groupBy("block").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    open_ = close.join(mixed.select("block"), "block", "left_semi").withColumnRenamed("block", "entry")
+    more_links = stored(links(same_members(open_), texts, groups, size, percent), "links")
     components = connected_components(first_links.unionByName(more_links))
 
     labelled = described.join(components, "node", "left").select(
@@ -217,8 +302,7 @@ def join_documents(
 
 def one_of_each(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """The rows, with all their columns, of one document of every component: its smallest
-    doc_id. Rows without words all stay. Of rows that repeat the doc_id kept, those stay that
-    belong to the component; equal rows stay once."""
+    doc_id. Rows without words all stay. Of rows that repeat the doc_id kept, all stay."""
     found = join_documents(documents, size, percent)
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = kept.select(F.col("doc_id").alias("kept")).distinct()
