@@ -19,7 +19,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).selectExpr("u", "least(u, m) AS m")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
+        large = large.where("u <> v")
         # Small star: smaller neighbours and the node itself move to the smallest neighbour.
         near = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(near, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))

@@ -44,7 +44,7 @@ COMMON_SETS = 64
 COMMON_ENTRIES = 1_000_000
 ORDERS = 2
 LEAST_CLASSES = 64
-ENTRIES_A_CLASS = 8
+ENTRIES_A_CLASS = 16
 _WORD = ~byte_class((9, 13), (32, 32))
 
 
@@ -107,7 +107,7 @@ def class_counts(entries: np.ndarray) -> bytes:
     while classes * ENTRIES_A_CLASS < len(entries):
         classes *= 2
     counts = np.bincount((entries & np.uint64(classes - 1)).astype(np.int64), minlength=classes)
-    return np.minimum(counts, 65535).astype("<u2").tobytes()
+    return np.minimum(counts, 255).astype("u1").tobytes()
 
 
 def fold(counts: np.ndarray, classes: int) -> np.ndarray:
@@ -199,7 +199,7 @@ def possible_members(blocks: DataFrame, facts: DataFrame, percent: int) -> DataF
             n = rows.column("n").to_numpy()
             order = np.argsort(n, kind="stable")
             n = n[order]
-            counts = [np.frombuffer(c.as_py(), "<u2").astype(np.int32) for c in rows.column("classes").take(pa.array(order))]
+            counts = [np.frombuffer(c.as_py(), "u1").astype(np.int32) for c in rows.column("classes").take(pa.array(order))]
             width = np.array([len(c) for c in counts])
             partner = np.zeros(len(n), bool)
             # Sizes ascend, and widths with them: k meets sets of its width or larger ones, folded.
