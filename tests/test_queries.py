@@ -1,4 +1,4 @@
-"""Every registered query with SQL, on the smallest given tables."""
+"""Every registered query with SQL, on the smallest given tables. Takes over six minutes: set TEST_QUERIES=1."""
 
 import os
 
@@ -11,6 +11,9 @@ from workload.base import ORACLES, QUERIES
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
+pytestmark = pytest.mark.skipif(not os.environ.get("TEST_QUERIES"), reason="set TEST_QUERIES=1")
+
+
 @pytest.fixture(scope="module")
 def con():
     if not os.path.isdir(SF_DIR):
