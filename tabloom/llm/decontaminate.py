@@ -7,8 +7,10 @@ place where keys meet fixes an alignment of the document with an item; along it
 compared, and the document is contaminated if some ``WINDOW`` words of the item (all, if
 it is shorter) have ``PERCENT`` per cent equal.
 
-Items of fewer words than a mask spans are found by all their words; items of fewer than
-``LEAST_WORDS`` are too short to search for. Null and empty texts have no words and
+No such copy is missed: the masks of an item are chosen so that, wherever the words lie
+that the rule lets differ, one mask reads equal words only (a test goes through all
+patterns). Short items, with fewer words to spare, have masks of their own. Items of fewer
+than ``LEAST_WORDS`` are too short to search for. Null and empty texts have no words and
 contain nothing. Rows that repeat a doc_id are judged each by its text, equal rows alike.
 """
 
@@ -16,12 +18,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Word positions that each mask reads.
-MASKS = [[0, 1, 3, 4, 7, 9], [0, 2, 3, 6, 8, 9], [0, 1, 2, 5, 6, 9]]
-SPAN = 10
 WINDOW = 16
 PERCENT = 75
 LEAST_WORDS = 5
+# Word positions that each mask reads, for items of so many words or more. They belong to
+# WINDOW and PERCENT: 4 of 16 words may differ, 3 of 12 to 15, 2 of 8 to 11, 1 of 5 to 7.
+MASKS = {
+    15: [[0, 1, 3, 4, 5], [0, 1, 3, 8, 9], [0, 2, 11, 12, 13]],
+    12: [[0, 2, 3, 4], [0, 3, 6, 8]],
+    8: [[0, 1, 3, 4], [0, 1, 6, 7], [0, 2, 3, 5]],
+    LEAST_WORDS: [[0, 1, 2, 3], [0, 1, 3, 4], [0, 1, 2, 4], [0, 2, 3, 4]],
+}
 BROADCAST_KEYS = 500_000
 
 
@@ -30,19 +37,26 @@ def word_hashes(text: Column) -> Column:
     return F.transform(F.coalesce(words, F.array().cast("array<string>")), lambda w: F.xxhash64(w))
 
 
-def window_keys(words: Column, place: Column, masks: list[list[int]]) -> Column:
+def mask_group(n: int) -> int:
+    """The key in ``MASKS`` for items of ``n`` words."""
+    return max(least for least in MASKS if least <= n)
+
+
+def window_keys(words: Column, place: Column, group: int) -> list[Column]:
     """A key for each mask of the window that begins at ``place``; null where it does not fit."""
     keys = []
-    for number, mask in enumerate(masks):
+    for mask in MASKS[group]:
         read = [F.get(words, place + F.lit(offset)) for offset in mask]
-        keys.append(F.when(read[-1].isNotNull(), F.xxhash64(F.lit(number), *read)))
-    return F.array(*keys)
+        keys.append(F.when(read[-1].isNotNull(), F.xxhash64(F.lit(group), *map(F.lit, mask), *read)))
+    return keys
 
 
-def keyed(rows: DataFrame, masks: list[list[int]]) -> DataFrame:
-    """Every (row, place, key); ``words`` stays beside them."""
-    places = rows.where(F.size("words") >= min(LEAST_WORDS, SPAN)).withColumn("place", F.explode(F.sequence(F.lit(0), F.size("words") - 1)))
-    return places.withColumn("key", F.explode(window_keys(F.col("words"), F.col("place"), masks))).where("key IS NOT NULL")
+def keyed(rows: DataFrame, groups: list[int]) -> DataFrame:
+    """Every (row, place, key) by the masks of ``groups``; ``words`` stays beside them."""
+    least = min((len(mask) for group in groups for mask in MASKS[group]), default=LEAST_WORDS)
+    places = rows.where(F.size("words") >= least).withColumn("place", F.explode(F.sequence(F.lit(0), F.size("words") - 1)))
+    keys = [key for group in groups for key in window_keys(F.col("words"), F.col("place"), group)]
+    return places.withColumn("key", F.explode(F.array(*keys).cast("array<bigint>"))).where("key IS NOT NULL")
 
 
 def equal_share(mine: Column, theirs: Column, window: Column) -> Column:
@@ -56,15 +70,20 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, text_hash, item_id, first_word, end_word: where documents follow an item."""
     items = benchmark.where("item_id IS NOT NULL").select("item_id", word_hashes(F.col("text")).alias("words")).distinct()
     items = items.where(F.size("words") >= LEAST_WORDS)
-    # At most SPAN lengths.
-    short = [r["n"] for r in items.select(F.size("words").alias("n")).where(F.col("n") < SPAN).distinct().collect()]
-    masks = MASKS + [list(range(n)) for n in sorted(short)]
-    item_keys = keyed(items, masks).select("key", "item_id", F.col("place").alias("item_place")).distinct()
+    # At most WINDOW lengths.
+    lengths = items.select(F.least(F.size("words"), F.lit(WINDOW)).alias("n")).distinct().collect()
+    groups = sorted({mask_group(r["n"]) for r in lengths})
+    item_keys = items.select(F.lit(None).cast("bigint").alias("key"), "item_id", F.lit(0).alias("item_place")).limit(0)
+    for group in groups:
+        above = min((least for least in MASKS if least > group), default=None)
+        of_group = items.where(F.size("words") >= group) if above is None else items.where(F.size("words").between(group, above - 1))
+        item_keys = item_keys.unionByName(keyed(of_group, [group]).select("key", "item_id", F.col("place").alias("item_place")))
+    item_keys = item_keys.distinct()
     small = item_keys.count() <= BROADCAST_KEYS
     beside = F.broadcast if small else (lambda df: df)
 
     words = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), word_hashes(F.col("text")).alias("words"))
-    hits = keyed(words, masks).join(beside(item_keys), "key")
+    hits = keyed(words, groups).join(beside(item_keys), "key")
     shift = F.col("place") - F.col("item_place")
     described = items.select("item_id", F.col("words").alias("item_words"))
     low = F.greatest(F.lit(0), -F.col("shift"))

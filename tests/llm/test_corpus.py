@@ -1,6 +1,8 @@
 """Operators that compare documents, and the pipeline, against plain versions."""
 
+import collections
 import hashlib
+import itertools
 import random
 import re
 
@@ -222,6 +224,33 @@ def test_leaks(spark, odd_rows):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(d for d, t in rows if not plain_leaks(t, items))
 
 
+def allowed_patterns(n):
+    """Every choice of as many of ``n`` words as the rule lets differ."""
+    window = min(n, decontaminate.WINDOW)
+    return list(itertools.combinations(range(n), window - -(-decontaminate.PERCENT * window // 100)))
+
+
+def test_masks_reach_the_rule():
+    for n in range(decontaminate.LEAST_WORDS, decontaminate.WINDOW + 1):
+        masks = decontaminate.MASKS[decontaminate.mask_group(n)]
+        reads = [{place + k for k in mask} for mask in masks for place in range(n - mask[-1])]
+        assert all(any(r.isdisjoint(changed) for r in reads) for changed in allowed_patterns(n))
+
+
+def test_leaks_with_any_allowed_words_changed(spark):
+    items = [(n, " ".join(f"w{n}x{k}" for k in range(n))) for n in range(5, 17)] + [(30, " ".join(f"w30x{k}" for k in range(30)))]
+    rows = []
+    for n, item in items[:-1]:
+        for changed in allowed_patterns(n):
+            words = [f"new{k}" if k in changed else w for k, w in enumerate(item.split())]
+            rows.append((n, " ".join(words) + f" tail{len(rows)}"))
+    rows += [(30, " ".join(items[-1][1].split()[a:b])) for a, b in ((0, 12), (18, 30), (0, 11), (5, 17))] + [(5, "w5x0 w5x1 w5x2 w5x3")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.report_leaks(frame(spark, rows), bench).groupBy("doc_id", "items").count().collect()
+    want = collections.Counter((d, plain_leaks(t, [(d, dict(items)[d])])) for d, t in rows)
+    assert {(r["doc_id"], r["items"]): r["count"] for r in got} == want and want[16, "16"] == 1820
+
+
 def test_empty_tables(spark, none):
     bench = spark.createDataFrame([(1, prose(1, 20))], "item_id long, text string")
     assert substring_dedup.remove_repeats(none).count() == 0
