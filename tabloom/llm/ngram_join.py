@@ -20,7 +20,8 @@ connected by then. Only pairs that connect what was not yet connected are emitte
 Equal sets are one node; its key is 64 bits of the set's hashes. Null texts and texts
 without a word have an empty set, linked with nothing. Null doc_ids never name a
 component unless all of its documents have none; rows that repeat a doc_id are judged each
-by its text.
+by its text. ``row_key``, 64 bits of doc_id and text, tells rows apart that are not equal in
+both.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tabloom.llm.common import (
     LOWER, byte_class, find_words, lists, mix, prefix_sums, row_bounds, shingles, signed, slices, span_hash, stored,
@@ -62,6 +63,10 @@ def set_key(entries: np.ndarray) -> int:
     return int((mix(entries).sum(dtype=np.uint64) ^ mix(np.uint64([len(entries)]))[0]).view(np.int64))
 
 
+def row_key() -> Column:
+    return F.xxhash64("doc_id", F.col("doc_id").isNull(), "text", F.col("text").isNull()).alias("row_key")
+
+
 def prefix_length(n: int, percent: int) -> int:
     return n + (-percent * n) // 100 + 1
 
@@ -118,7 +123,7 @@ def fold(counts: np.ndarray, classes: int) -> np.ndarray:
 
 
 def describe(documents: DataFrame, common: np.ndarray, size: int, percent: int) -> DataFrame:
-    """doc_id, n, node, first entries of the ordered set, smallest hash under each order, class counts."""
+    """doc_id, row_key, n, node, first entries of the ordered set, smallest hash under each order, class counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,23 +138,24 @@ def describe(documents: DataFrame, common: np.ndarray, size: int, percent: int)
                 least_bounds = np.concatenate([[0], np.cumsum([len(k) for k in least])])
                 columns = [
                     batch.column(0).slice(at, end - at),
+                    batch.column(2).slice(at, end - at),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([set_key(s) if len(s) else None for s in sets], pa.int64()),
                     lists(signed(np.concatenate(first)), bounds),
                     lists(signed(np.array(sum(least, []), np.uint64)), least_bounds),
                     pa.array([class_counts(s) for s in sets], pa.binary()),
                 ]
-                yield pa.record_batch(columns, names=["doc_id", "n", "node", "first", "least", "classes"])
+                yield pa.record_batch(columns, names=["doc_id", "row_key", "n", "node", "first", "least", "classes"])
 
-    schema = "doc_id long, n long, node long, first array<long>, least array<long>, classes binary"
-    return documents.select("doc_id", "text").mapInArrow(run, schema)
+    schema = "doc_id long, row_key long, n long, node long, first array<long>, least array<long>, classes binary"
+    return documents.select("doc_id", "text", row_key()).mapInArrow(run, schema)
 
 
 def contents(documents: DataFrame, nodes: DataFrame, described: DataFrame) -> DataFrame:
-    """doc_id, text of a document for each of ``nodes``, with the node. Rows that repeat the
-    doc_id come too; their own sets tell them apart."""
-    chosen = described.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("chosen"))
-    return documents.select("doc_id", "text").join(chosen, F.col("doc_id").eqNullSafe(F.col("chosen"))).select("node", "text")
+    """node, text: the text of one document for each of ``nodes``."""
+    chosen = described.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("row_key").alias("row_key"))
+    rows = documents.select(row_key(), "text").join(chosen, "row_key")
+    return rows.dropDuplicates(["row_key"]).select("node", "text")
 
 
 def slice_blocks(members: DataFrame, most: int, every_pair: bool) -> DataFrame:
@@ -253,10 +259,8 @@ def same_members(members: DataFrame) -> DataFrame:
     return members.join(chosen, "entry", "left_semi").select(F.col("entry").alias("block"), "node")
 
 
-def join_documents(
-    documents: DataFrame, size: int = SIZE, percent: int = PERCENT, block_sets: int = BLOCK_SETS
-) -> DataFrame:
-    """doc_id, n_shingles, component_id: the smallest doc_id reachable by links."""
+def label_documents(documents: DataFrame, size: int, percent: int, block_sets: int = BLOCK_SETS) -> DataFrame:
+    """doc_id, row_key, n_shingles, component: a node of the component, null without shingles."""
     common = common_entries(documents, size, percent)
     described = stored(describe(documents, common, size, percent), "sets")
     entries = described.select(F.explode("first").alias("entry"), "node")
@@ -288,9 +292,16 @@ def join_documents(
     more_links = stored(links(same_members(open_), texts, groups, size, percent), "links")
     components = connected_components(first_links.unionByName(more_links))
 
-    labelled = described.join(components, "node", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "node").alias("component")
+    return described.join(components, "node", "left").select(
+        "doc_id", "row_key", F.col("n").alias("n_shingles"), F.coalesce("component", "node").alias("component")
     )
+
+
+def join_documents(
+    documents: DataFrame, size: int = SIZE, percent: int = PERCENT, block_sets: int = BLOCK_SETS
+) -> DataFrame:
+    """doc_id, n_shingles, component_id: the smallest doc_id reachable by links."""
+    labelled = label_documents(documents, size, percent, block_sets).drop("row_key")
     linked = labelled.where("n_shingles > 0")
     smallest = linked.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     return (
@@ -301,10 +312,13 @@ def join_documents(
 
 
 def one_of_each(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """The rows, with all their columns, of one document of every component: its smallest
-    doc_id. Rows without words all stay. Of rows that repeat the doc_id kept, all stay."""
-    found = join_documents(documents, size, percent)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = kept.select(F.col("doc_id").alias("kept")).distinct()
-    rows = documents.select(F.struct(*documents.columns).alias("row"))
-    return rows.join(kept, F.col("row.doc_id").eqNullSafe(F.col("kept")), "left_semi").select("row.*")
+    """The rows, with all their columns, of one document of every component: one row of its
+    smallest doc_id, of a null one only if all are null. Of several such rows the smallest
+    row_key decides, then the hash of all columns. Rows without words all stay."""
+    labelled = stored(label_documents(documents, size, percent).select("doc_id", "row_key", "n_shingles", "component"), "labelled")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_key")
+    chosen = labelled.where("n_shingles > 0").groupBy("component").agg(F.min(order).alias("least")).select("least.row_key")
+    wordless = labelled.where("n_shingles = 0").select("row_key").distinct()
+    rows = documents.select(row_key(), F.struct(*documents.columns).alias("row"))
+    one = rows.join(chosen, "row_key", "left_semi").groupBy("row_key").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return one.select("row.*").unionByName(rows.join(wordless, "row_key", "left_semi").select("row.*"))

@@ -112,6 +112,26 @@ def test_one_of_each(odd, odd_rows):
     assert 20 in ids and 21 not in ids and 22 not in ids and {30, 31, 32} <= set(ids)
 
 
+def test_one_row_of_each(spark):
+    """Row counts where doc_ids are null or repeated: one row for each component, all rows without words."""
+    a, b, c, d = (prose(k, 120) for k in (1, 2, 3, 4))
+    near = lambda text: text.replace(text.split()[60], "zzz", 1)
+    rows = [(20, a), (None, near(a)), (21, a), (None, b), (None, b), (None, near(b)), (30, c), (30, near(c)), (30, c)]
+    rows += [(30, d), (5, near(d)), (30, near(a)), (None, None), (None, None), (None, ""), (7, " "), (7, " ")]
+    kept = [(r["doc_id"], r["text"]) for r in ngram_join.one_of_each(frame(spark, rows)).collect()]
+    worded = [r for r in kept if (r[1] or "").strip()]
+    assert sorted(i or -1 for i, _ in worded) == [-1, 5, 20, 30]
+    assert {(20, a), (5, near(d))} < set(worded) and {t for i, t in worded if i in (None, 30)} & {b, near(b)} and {t for i, t in worded if i == 30} <= {c, near(c)}
+    assert sorted((r for r in kept if r not in worded), key=str) == sorted([r for r in rows if not (r[1] or "").strip()], key=str)
+
+
+def test_contents_bring_a_node_once(spark):
+    rows = frame(spark, [(None, prose(k, 30)) for k in range(4)] * 3 + [(9, prose(k, 30)) for k in range(3, 6)] * 2)
+    described = ngram_join.describe(rows, np.empty(0, np.uint64), 3, 90)
+    texts = ngram_join.contents(rows, described.select("node").distinct(), described).collect()
+    assert len(texts) == len({r["node"] for r in texts}) == len({r["text"] for r in texts}) == 6
+
+
 def test_prefix_tree():
     rng = np.random.default_rng(5)
     for _ in range(120):
