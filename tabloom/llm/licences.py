@@ -7,6 +7,11 @@ more is a match; matches that go forward in the same template are chained, and a
 is found where its chain covers ``MIN_COVER`` of its words. Words no template has end a
 run; whole stretches of them are skipped without touching the automaton.
 
+Short references are too short for that: ``NAMES`` of the Creative Commons family, LGPL and
+AGPL are found where all their words stand. Of overlapping names the one that ends last
+counts (then the longest), so BY-NC-SA is neither BY-NC nor BY; and a name inside a covered
+template, or around a base name, of the licence it varies (``VARIED``) replaces that label.
+
 Besides, places where a licence's name stands are counted (``PHRASES``): the base labels.
 
 Null text is empty; a text without words has no labels and score 0. Null or repeated
@@ -16,6 +21,7 @@ doc_ids stay rows of their own; an empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -86,6 +92,40 @@ TEMPLATES = {
     "cc-by": ["This work is licensed under a Creative Commons Attribution 4.0 International License"],
 }
 
+# Parts of Creative Commons names, as they are written.
+CC_PARTS = {
+    "nc": ["NonCommercial", "Non-Commercial"],
+    "nd": ["NoDerivatives", "NoDerivs", "No-Derivatives", "No-Derivs"],
+    "sa": ["ShareAlike", "Share-Alike"],
+}
+CC_VERSIONS = ["", " 1.0", " 2.0", " 2.5", " 3.0", " 4.0"]
+CC_LICENCES = ["by", "by-sa", "by-nc", "by-nd", "by-nc-sa", "by-nc-nd"]
+
+
+def cc_names(licence: str) -> list[str]:
+    """Short, long and link forms of a name, each without and with a version. CC BY alone
+    may be other words; it needs a version or the word licence beside it."""
+    long = ["-".join(p) for p in product(["Creative Commons Attribution"], *(CC_PARTS[k] for k in licence.split("-")[1:]))]
+    names = [name + v for name in [*long, f"creativecommons.org/licenses/{licence}", f"CC {licence}"] for v in CC_VERSIONS]
+    if licence != "by":
+        return names
+    names.remove("CC by")
+    return names + ["CC BY license", "CC BY licence", "licensed under CC BY", "licensed under a CC BY", "license CC BY", "licence CC BY"]
+
+
+# Names and short forms, found whole.
+NAMES = {f"cc-{licence}": cc_names(licence) for licence in CC_LICENCES} | {
+    "cc0": ["CC0", "CC0 1.0", "Creative Commons Zero", "creativecommons.org/publicdomain/zero"],
+    "lgpl": [
+        "GNU Lesser General Public License", "GNU Library General Public License", "Lesser General Public License",
+        "Library General Public License", "GNU LGPL", "LGPL", "LGPL2", "LGPL3", "LGPLv2", "LGPLv2.1", "LGPLv3",
+    ],
+    "agpl": [
+        "GNU Affero General Public License", "Affero General Public License", "GNU AGPL", "AGPL", "AGPL3", "AGPLv1", "AGPLv3",
+    ],
+}
+VARIED = {"lgpl": "gpl", "agpl": "gpl"} | {f"cc-{licence}": "cc-by" for licence in CC_LICENCES[1:]}
+
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash and row of every word, A-Z as a-z."""
@@ -166,13 +206,16 @@ class SuffixAutomaton:
 
 
 class LicenceScanner:
-    def __init__(self, templates: dict[str, list[str]] = TEMPLATES, phrases: dict[str, str] = PHRASES):
+    def __init__(self, templates: dict[str, list[str]] = TEMPLATES, phrases: dict[str, str] = PHRASES, names: dict[str, list[str]] = NAMES):
         hashes = [(label, _one(text)) for label, texts in templates.items() for text in texts]
         self.vocabulary = np.unique(np.concatenate([h for _, h in hashes]))
         self.labels = [label for label, _ in hashes]
         self.sizes = [len(h) for _, h in hashes]
         self.automaton = SuffixAutomaton([np.searchsorted(self.vocabulary, h).tolist() for _, h in hashes])
         self.phrases = [(_one(text), label) for text, label in phrases.items()]
+        self.names = {tuple(_one(text).tolist()): label for label, texts in names.items() for text in texts}
+        self.name_sizes = sorted({len(name) for name in self.names}, reverse=True)
+        self.name_begins = np.array(sorted({name[0] for name in self.names}), np.uint64)
 
     def places(self, words: np.ndarray, row: np.ndarray) -> list[tuple[np.ndarray, str]]:
         """Where each phrase's words stand consecutively in one row."""
@@ -184,6 +227,23 @@ class LicenceScanner:
             out.append((at, label))
         return out
 
+    def named(self, words: np.ndarray, row: np.ndarray) -> dict[int, list[tuple[str, int, int]]]:
+        """By row: label, first and end word of the names that count, from the last one back."""
+        found = []
+        for p in np.flatnonzero(np.isin(words, self.name_begins)).tolist():
+            rest = words[p : p + self.name_sizes[0]][row[p : p + self.name_sizes[0]] == row[p]].tolist()
+            for size in self.name_sizes:
+                if size <= len(rest) and (label := self.names.get(tuple(rest[:size]))):
+                    found.append((p + size, p, label))
+                    break
+        out: dict[int, list[tuple[str, int, int]]] = {}
+        free = len(words)
+        for end, p, label in sorted(found, key=lambda f: (-f[0], f[1])):
+            if end <= free:
+                free = p
+                out.setdefault(int(row[p]), []).append((label, p, end))
+        return out
+
     def runs(self, words: np.ndarray, row: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
         """Stretches of template words in one row, long enough for a match: begin, end, numbers."""
         number = np.minimum(np.searchsorted(self.vocabulary, words), len(self.vocabulary) - 1)
@@ -233,16 +293,23 @@ class LicenceScanner:
             r = int(row[b])
             for end, length, ends in self.automaton.matches(numbers.tolist(), MIN_RUN):
                 found.setdefault(r, []).append((b - int(begin[r]) + end - length, length, ends))
+        names = self.named(words, row)
         out: dict[str, list] = {k: [] for k in ("n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans")}
         for r in range(rows):
             spans = self.spans(found[r]) if r in found else []
+            whole = [(label, b - int(begin[r]), e - int(begin[r])) for label, b, e in names.get(r, ())]
+            spans = [s for s in spans if not any(VARIED.get(label) == s[0] and b < s[2] and s[1] < e for label, b, e in whole)]
             named = {label for _, label in base[r]}
+            own = {k for p, k in base[r] if not any(VARIED.get(label) == k and b <= p < e for label, b, e in whole)}
+            # A name inside a span of its own licence says nothing more.
+            beside = [n for n in whole if not any(s[0] == n[0] and s[1] <= n[1] and n[2] <= s[2] for s in spans)]
+            spans = sorted(spans + [(*n, NAMED_SCORE) for n in beside], key=lambda s: (s[1], s[2], s[0]))
             at = [p for p, _ in base[r]]
             out["n_base"].append(len(at))
             out["first_word"].append(min(at, default=None))
             out["last_word"].append(max(at, default=None))
             out["base_labels"].append(",".join(sorted(named)))
-            out["labels"].append(",".join(sorted(named | {s[0] for s in spans})))
+            out["labels"].append(",".join(sorted(own | {s[0] for s in spans})))
             out["score"].append(max([NAMED_SCORE if at else 0.0, *(s[3] for s in spans)]))
             out["spans"].append(",".join(f"{label}:{b}:{e}" for label, b, e, _ in spans))
         return {"n_words": np.diff(begin).tolist()} | out
@@ -256,7 +323,7 @@ SCHEMA = pa.schema([
 
 
 def scan_licences(documents: DataFrame, templates: dict[str, list[str]] | None = None) -> DataFrame:
-    """One row per document; ``spans`` lists label:first word:end word of covered templates.
+    """One row per document; ``spans`` lists label:first word:end word of covered templates and of names.
     ``score`` is the largest share of a template covered, at least ``NAMED_SCORE`` where a
     licence is named."""
 

@@ -132,6 +132,30 @@ def test_licences_templates(spark):
     assert [got[k]["labels"] for k in (3, 4, 5)] == ["", "", ""] and got[5]["n_words"] == 0
 
 
+def test_licence_names(spark):
+    """Short references, families and versions; a variant is not also the licence it varies."""
+    gpl = licences.TEMPLATES["gpl"][0]
+    cases = {
+        "Licensed under CC BY-NC 4.0.": "cc-by-nc:4:9",
+        "cc-by-nc-sa": "cc-by-nc-sa:2:6",
+        "licensed under CC BY-SA, 3.0": "cc-by-sa:4:9",
+        "licensed under CC BY": "cc-by:2:6",
+        "CC BY-ND and CC BY 2.0 here": "cc-by-nd:2:5,cc-by:6:10",
+        "https://creativecommons.org/licenses/by-nc-nd/4.0/": "cc-by-nc-nd:3:11",
+        "LGPLv2.1, AGPL-3.0": "lgpl:2:4,agpl:4:5",
+        "sent cc by mail": "",
+    }
+    rows = [(k, f"one two {text}") for k, text in enumerate(cases)]
+    rows += [(50, "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License")]
+    rows += [(51, licences.TEMPLATES["cc-by"][0]), (52, gpl.replace("GNU General", "GNU Lesser General")), (53, gpl), (54, "licensed under CC"), (55, "BY-NC 4.0")]
+    got = {r["doc_id"]: r for r in licences.scan_licences(frame(spark, rows)).collect()}
+    for k, spans in enumerate(cases.values()):
+        assert got[k]["spans"] == spans and got[k]["score"] == (licences.NAMED_SCORE if spans else 0)
+        assert got[k]["labels"] == ",".join(sorted({s.split(":")[0] for s in spans.split(",") if s}))
+    assert [got[k]["labels"] for k in range(50, 56)] == ["cc-by-nc", "cc-by", "lgpl", "gpl", "", ""]
+    assert got[52]["base_labels"] == "gpl" and got[51]["score"] == got[53]["score"] == 1
+
+
 def test_automaton_gives_matching_statistics():
     rng = np.random.default_rng(2)
     for _ in range(40):
