@@ -76,3 +76,44 @@ SELECT page_id, host, path, h.best.rule AS rule,
        CASE WHEN h.best.rule IS NULL THEN p.best.rule END AS pattern
 FROM parts LEFT JOIN by_host h USING (row_id) LEFT JOIN by_pattern p USING (row_id)
 """
+
+COLLOCATIONS = r"""
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), pieces AS (
+  SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts
+), worded AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS words FROM pieces
+), sizes(k) AS (VALUES (1), (2), (3), (4)
+), grams AS (
+  SELECT lang, k, unnest(list_transform(generate_series(1, len(words) - k + 1), lambda i: array_to_string(words[i:i + k - 1], ' '))) AS phrase
+  FROM worded, sizes WHERE len(words) >= k
+), counted AS (
+  SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL
+), totals AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counted WHERE k = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, k, phrase, f, string_split(phrase, ' ') AS words FROM counted WHERE k >= 2 AND f >= 30
+), places(s, e) AS (VALUES (1, 2), (2, 3), (3, 4), (1, 3), (2, 4)
+), around AS (
+  SELECT lang, array_to_string(words[s:e], ' ') AS phrase, max(f) AS most
+  FROM candidates, places WHERE e <= k AND e - s + 1 < k GROUP BY ALL
+), cuts AS (
+  SELECT lang, phrase, f, unnest(generate_series(1, k - 1)) AS cut, words, k FROM candidates
+), scored AS (
+  SELECT c.lang, c.phrase, c.f AS a, c.cut, x.f AS l, y.f AS r,
+         (2000000 * CAST(c.f AS HUGEINT)) // (CAST(x.f AS HUGEINT) + y.f) AS score
+  FROM cuts c
+  JOIN counted x ON x.lang = c.lang AND x.phrase = array_to_string(c.words[1:c.cut], ' ')
+  JOIN counted y ON y.lang = c.lang AND y.phrase = array_to_string(c.words[c.cut + 1:c.k], ' ')
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), kept AS (
+  SELECT w.* FROM lowest w LEFT JOIN around o ON o.lang = w.lang AND o.phrase = w.phrase
+  WHERE o.most IS NULL OR 100 * CAST(o.most AS HUGEINT) < 80 * CAST(w.a AS HUGEINT)
+)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) JOIN totals USING (lang)
+WHERE rank <= 2000
+"""

@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tabloom.llm.collocations import mine_collocations
 from tabloom.llm.decontaminate import report_leaks
 from tabloom.llm.fill_middle import rearrange_and_restore
 from tabloom.llm.fingerprints import fingerprint_documents
 from tabloom.llm.language import identify_held_out
 from tabloom.llm.licences import scan_licences
 from tabloom.llm.ngram_join import join_documents
-from tabloom.llm.oracles import FILL_MIDDLE, URL_FILTERS
+from tabloom.llm.oracles import COLLOCATIONS, FILL_MIDDLE, URL_FILTERS
 from tabloom.llm.packing import pack_documents
 from tabloom.llm.quality import TOP_GRADE, fit_to_labels, grade_documents
 from tabloom.llm.secrets import report_secrets
@@ -22,7 +23,11 @@ from tabloom.llm.url_filters import judge_pages
 from tabloom.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {"op11_fill_middle": FILL_MIDDLE, "op13_url_filters": URL_FILTERS}
+ORACLES: dict[str, str] = {
+    "op11_fill_middle": FILL_MIDDLE,
+    "op12_collocations": COLLOCATIONS,
+    "op13_url_filters": URL_FILTERS,
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,6 +96,11 @@ def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rearrange_and_restore(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_collocations(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_pages(table(spark, sf_dir, "pages"))
