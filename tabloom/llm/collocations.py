@@ -39,7 +39,9 @@ BREAK = byte_class((10, 13))
 for _sign in b".,;:!?":
     WORD[_sign], BREAK[_sign] = False, True
 
-FLUSH = 1 << 21
+# Phrases held back to be combined, and bytes of text read at a time: what a task needs beside its batch.
+FLUSH = 1 << 19
+READ_BYTES = 1 << 18
 FRONTIER = 200_000
 WORD_BITS = 1 << 23
 KEY_BITS = 1 << 22
@@ -77,7 +79,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Tokens, np.ndarra
         coded = batch.column(1).dictionary_encode()
         names, numbers = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
         keys = np.array([_language_key(n) for n in names.to_pylist()], np.uint64)
-        for at, end, data, offsets in slices(batch.column(0)):
+        for at, end, data, offsets in slices(batch.column(0), READ_BYTES):
             yield Tokens(data, offsets, keys[numbers[at:end]]), numbers[at:end], names
 
 
