@@ -50,11 +50,12 @@ def pack_block(ids: np.ndarray, percentile: int = PERCENTILE) -> bytes:
     above = ids - np.uint32(low)
     at = (len(above) - 1) * percentile // 100
     width = int(np.partition(above, at)[at]).bit_length()
-    planes = [np.packbits(((above >> np.uint32(b)) & np.uint32(1)).astype(np.uint8)).tobytes() for b in range(width)]
+    bits = np.unpackbits(above.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, count=width, bitorder="little")
+    planes = np.packbits(bits.T, axis=1).tobytes()
     high = (above.astype(np.uint64) >> np.uint64(width)).astype("<u4")
     odd = np.flatnonzero(high)
     head = np.array((low, len(ids), len(odd), width), _BLOCK_HEAD).tobytes()
-    return b"".join([head, *planes, odd.astype("<u2").tobytes(), high[odd].tobytes()])
+    return b"".join([head, planes, odd.astype("<u2").tobytes(), high[odd].tobytes()])
 
 
 def unpack_block(data: bytes | memoryview, at: int = 0) -> np.ndarray:
@@ -62,10 +63,11 @@ def unpack_block(data: bytes | memoryview, at: int = 0) -> np.ndarray:
     low, count, odd, width = (int(head[name]) for name in ("low", "ids", "exceptions", "width"))
     at += _BLOCK_HEAD.itemsize
     size = -(-count // 8)
-    out = np.zeros(count, np.uint32)
-    for b in range(width):
-        out |= np.unpackbits(np.frombuffer(data, np.uint8, size, at), count=count).astype(np.uint32) << np.uint32(b)
-        at += size
+    planes = np.frombuffer(data, np.uint8, width * size, at).reshape(width, size)
+    bits = np.zeros((count, 32), np.uint8)
+    bits[:, :width] = np.unpackbits(planes, axis=1, count=count).T
+    out = np.packbits(bits, axis=1, bitorder="little").view("<u4").ravel()
+    at += width * size
     position = np.frombuffer(data, "<u2", odd, at)
     high = np.frombuffer(data, "<u4", odd, at + 2 * odd)
     out[position] |= (high.astype(np.uint64) << np.uint64(width)).astype(np.uint32)
@@ -123,7 +125,7 @@ def write_token_files(
     """Write the files and return the manifest: file, part, number, documents, ids.
 
     Documents are in ascending doc_id order over (part, number), nulls first, rows with
-    equal doc_id by text. Null text is empty. A file ends with the document that takes it
+    equal doc_id by a hash of the text. Null text is empty. A file ends with the document that takes it
     past ``file_ids`` ids.
     """
     tokenizer = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
@@ -159,9 +161,10 @@ def write_token_files(
         kinds = [pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
         yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=["file", "part", "number", "documents", "ids"])
 
-    # Null ids spread by nothing: they sort first, as Spark's ranges do.
-    ranged = documents.select("doc_id", "text").repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), F.col("text"))
-    ordered = ranged.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    # Ranges are drawn from ids and hashes, so no text reaches the driver, and rows of one id still spread.
+    key = [F.col("doc_id").asc_nulls_first(), F.col("mark").asc()]
+    ranged = documents.select("doc_id", "text", F.xxhash64("text").alias("mark")).repartitionByRange(parts, *key)
+    ordered = ranged.sortWithinPartitions(*key)
     return stored(ordered.mapInArrow(write, "file string, part int, number int, documents long, ids long"), "token-manifest")
 
 
