@@ -10,7 +10,7 @@ run; whole stretches of them are skipped without touching the automaton.
 Short references are too short for that: ``NAMES`` of the Creative Commons family, LGPL and
 AGPL are found where all their words stand. Of overlapping names the one that ends last
 counts (then the longest), so BY-NC-SA is neither BY-NC nor BY; and a name inside a covered
-template, or around a base name, of the licence it varies (``VARIED``) replaces that label.
+template of the licence it varies (``VARIED``) replaces that template's span. Base labels stay.
 
 Besides, places where a licence's name stands are counted (``PHRASES``): the base labels.
 
@@ -300,7 +300,6 @@ class LicenceScanner:
             whole = [(label, b - int(begin[r]), e - int(begin[r])) for label, b, e in names.get(r, ())]
             spans = [s for s in spans if not any(VARIED.get(label) == s[0] and b < s[2] and s[1] < e for label, b, e in whole)]
             named = {label for _, label in base[r]}
-            own = {k for p, k in base[r] if not any(VARIED.get(label) == k and b <= p < e for label, b, e in whole)}
             # A name inside a span of its own licence says nothing more.
             beside = [n for n in whole if not any(s[0] == n[0] and s[1] <= n[1] and n[2] <= s[2] for s in spans)]
             spans = sorted(spans + [(*n, NAMED_SCORE) for n in beside], key=lambda s: (s[1], s[2], s[0]))
@@ -309,7 +308,7 @@ class LicenceScanner:
             out["first_word"].append(min(at, default=None))
             out["last_word"].append(max(at, default=None))
             out["base_labels"].append(",".join(sorted(named)))
-            out["labels"].append(",".join(sorted(own | {s[0] for s in spans})))
+            out["labels"].append(",".join(sorted(named | {s[0] for s in spans})))
             out["score"].append(max([NAMED_SCORE if at else 0.0, *(s[3] for s in spans)]))
             out["spans"].append(",".join(f"{label}:{b}:{e}" for label, b, e, _ in spans))
         return {"n_words": np.diff(begin).tolist()} | out
