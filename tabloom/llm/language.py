@@ -36,13 +36,15 @@ _LETTERS[123:128] = 32
 
 
 def trigram_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Counts of hashed trigrams (rows x BUCKETS); runs of spaces count nothing."""
+    """Counts of hashed trigrams (rows x BUCKETS); a text has a space on either side, runs of
+    spaces count nothing."""
     rows = len(offsets) - 1
-    codes = _LETTERS[data].astype(np.uint32)
+    codes = np.full(len(data) + 2 * rows, 32, np.uint32)
+    codes[np.arange(len(data)) + 2 * np.repeat(np.arange(rows), np.diff(offsets)) + 1] = _LETTERS[data]
     if len(codes) < 3:
         return np.zeros((rows, BUCKETS))
     code = codes[:-2] | codes[1:-1] << np.uint32(8) | codes[2:] << np.uint32(16)
-    row = np.repeat(np.arange(rows), np.diff(offsets))
+    row = np.repeat(np.arange(rows), np.diff(offsets) + 2)
     keep = (row[:-2] == row[2:]) & ((codes[:-2] != 32) | (codes[1:-1] != 32)) & ((codes[1:-1] != 32) | (codes[2:] != 32))
     bucket = (code * np.uint32(0x9E3779B1)) >> np.uint32(32 - 13)
     cells = row[:-2][keep] * BUCKETS + bucket[keep].astype(np.int64)
@@ -123,7 +125,7 @@ class Mixture:
         allowed = np.ones((self.rows, languages), bool)
         share, fit = self.fit(allowed)
         price = PENALTY * np.log(np.maximum(self.size, 2))
-        open_ = np.ones(self.rows, bool)
+        open_ = self.filled.copy()  # without trigrams all languages stay, with equal shares
         for kept in range(languages - 1, 0, -1):
             trial = allowed.copy()
             trial[np.arange(self.rows), np.where(allowed, share, 2).argmin(axis=1)] = False
