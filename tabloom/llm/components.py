@@ -13,7 +13,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     table in the shared folder, so a lost executor costs one round at most.
     """
     current = stored(edges.where("u <> v").selectExpr("greatest(u, v) AS u", "least(u, v) AS v").distinct(), "edges")
-    total = current.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long"))).first()
+    total = current.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("u", "v") % (1 << 40))).first()
     while total[0]:
         # Large star: larger neighbours move to the smallest neighbour.
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -24,7 +24,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         near = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(near, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
         current = stored(small.where("u <> v").distinct(), "edges")
-        now = current.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long"))).first()
+        now = current.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("u", "v") % (1 << 40))).first()
         if now == total:
             break
         total = now

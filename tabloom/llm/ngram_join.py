@@ -196,15 +196,16 @@ def by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def possible_members(blocks: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
-    """(block, node) of nodes that sizes and class counts leave a partner in the block.
-    ``facts``: node, n, classes."""
+def possible_members(blocks: DataFrame, facts: DataFrame, percent: int, groups: DataFrame | None = None) -> DataFrame:
+    """(block, node) of nodes that sizes and class counts leave a partner in the block, one of
+    another component where ``groups`` (node, component) tells. ``facts``: node, n, classes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in by_block(batches):
             n = rows.column("n").to_numpy()
             order = np.argsort(n, kind="stable")
             n = n[order]
+            group = rows.column("component").to_numpy()[order]
             counts = [np.frombuffer(c.as_py(), "u1").astype(np.int32) for c in rows.column("classes").take(pa.array(order))]
             width = np.array([len(c) for c in counts])
             partner = np.zeros(len(n), bool)
@@ -218,14 +219,20 @@ def possible_members(blocks: DataFrame, facts: DataFrame, percent: int) -> DataF
                     if end <= k + 1:
                         continue
                     room = n[k] + n[k + 1 : end] - 2 * least_overlap(n[k], n[k + 1 : end], percent)
-                    close = np.abs(table[k + 1 - begin : end - begin] - table[k - begin]).sum(axis=1) <= room
+                    other = np.flatnonzero(group[k + 1 : end] != group[k])
+                    if not len(other):
+                        continue
+                    close = np.zeros(end - k - 1, bool)
+                    close[other] = np.abs(table[k + 1 - begin + other] - table[k - begin]).sum(axis=1) <= room[other]
                     if close.any():
                         partner[k] = True
                         partner[k + 1 : end] |= close
             kept = pa.array(order[partner])
             yield pa.record_batch([rows.column(i).take(kept).combine_chunks() for i in range(2)], names=["block", "node"])
 
-    rows = blocks.join(facts, "node").select("block", "node", "n", "classes")
+    rows = blocks.join(facts, "node")
+    rows = rows.join(groups, "node", "left") if groups is not None else rows.withColumn("component", F.col("node"))
+    rows = rows.select("block", "node", "n", F.coalesce("component", "node").alias("component"), "classes")
     return rows.repartition("block").sortWithinPartitions("block").mapInArrow(run, "block long, node long")
 
 
@@ -269,6 +276,7 @@ def label_documents(documents: DataFrame, size: int, percent: int, block_sets: i
     members = stored(entries.join(shared, "entry").distinct(), "entry-sets")
     meeting = members.select("node").distinct()
     facts = described.join(meeting, "node", "left_semi").groupBy("node").agg(F.first("n").alias("n"), F.first("classes").alias("classes"))
+    facts = stored(facts, "set-facts")
     blocks = slice_blocks(same_members(members), block_sets, every_pair=True)
     close = stored(possible_members(blocks, facts, percent), "possible-members")
     nodes = stored(close.select("node").distinct(), "possible-nodes")
@@ -289,7 +297,9 @@ def label_documents(documents: DataFrame, size: int, percent: int, block_sets: i
     grouped = close.join(large, "node", "left_semi").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = grouped.groupBy("block").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     open_ = close.join(mixed.select("block"), "block", "left_semi").withColumnRenamed("block", "entry")
-    more_links = stored(links(same_members(open_), texts, groups, size, percent), "links")
+    # Most partners are connected by now: texts meet only where one of another component is possible.
+    apart = stored(possible_members(same_members(open_), facts, percent, groups), "apart")
+    more_links = stored(links(apart, texts, groups, size, percent), "links")
     components = connected_components(first_links.unionByName(more_links))
 
     return described.join(components, "node", "left").select(
@@ -318,7 +328,10 @@ def one_of_each(documents: DataFrame, size: int = SIZE, percent: int = PERCENT)
     labelled = stored(label_documents(documents, size, percent).select("doc_id", "row_key", "n_shingles", "component"), "labelled")
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_key")
     chosen = labelled.where("n_shingles > 0").groupBy("component").agg(F.min(order).alias("least")).select("least.row_key")
-    wordless = labelled.where("n_shingles = 0").select("row_key").distinct()
-    rows = documents.select(row_key(), F.struct(*documents.columns).alias("row"))
-    one = rows.join(chosen, "row_key", "left_semi").groupBy("row_key").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
-    return one.select("row.*").unionByName(rows.join(wordless, "row_key", "left_semi").select("row.*"))
+    copies = labelled.groupBy("row_key").agg(F.count("*").alias("copies"), F.max("n_shingles").alias("n_shingles"))
+    kept = chosen.join(copies, "row_key").select("row_key", (F.col("copies") > 1).alias("repeated"))
+    kept = stored(kept.unionByName(copies.where("n_shingles = 0").select("row_key", F.lit(False).alias("repeated"))), "kept")
+    rows = documents.select(row_key(), F.struct(*documents.columns).alias("row")).join(kept, "row_key")
+    # Rows are joined, not aggregated; only those equal in doc_id and text are compared as a whole.
+    least = rows.where("repeated").groupBy("row_key").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return rows.where("NOT repeated").select("row.*").unionByName(least.select("row.*"))

@@ -31,7 +31,9 @@ ORACLES: dict[str, str] = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    # Tasks read texts in batches of rows; smaller ones keep Python workers small.
+    configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tests.llm.conftest import frame, prose
 from tokenizers import Tokenizer
 
@@ -32,7 +33,8 @@ def test_pieces_do_not_change_ids(plain, odd_rows):
 
 def test_token_files_round_trip(odd, odd_rows, plain):
     got = sorted(map(tuple, token_files.encode_and_read_back(odd).collect()), key=lambda r: r[1])
-    rows = sorted(odd_rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    mark = {r[0]: r[1] for r in odd.select("text", F.xxhash64("text")).distinct().collect()}
+    rows = sorted(odd_rows, key=lambda r: (r[0] is not None, r[0] or 0, mark[r[1]]))
     at = 0
     assert len(got) == len(rows)
     for (doc_id, text), row in zip(rows, got):
@@ -133,7 +135,7 @@ def test_licences_templates(spark):
 
 
 def test_licence_names(spark):
-    """Short references, families and versions; a variant is not also the licence it varies."""
+    """Short references, families and versions; base labels stay beside the variant's."""
     gpl = licences.TEMPLATES["gpl"][0]
     cases = {
         "Licensed under CC BY-NC 4.0.": "cc-by-nc:4:9",
@@ -152,7 +154,7 @@ def test_licence_names(spark):
     for k, spans in enumerate(cases.values()):
         assert got[k]["spans"] == spans and got[k]["score"] == (licences.NAMED_SCORE if spans else 0)
         assert got[k]["labels"] == ",".join(sorted({s.split(":")[0] for s in spans.split(",") if s}))
-    assert [got[k]["labels"] for k in range(50, 56)] == ["cc-by-nc", "cc-by", "lgpl", "gpl", "", ""]
+    assert [got[k]["labels"] for k in range(50, 56)] == ["cc-by-nc", "cc-by", "gpl,lgpl", "gpl", "", ""]
     assert got[52]["base_labels"] == "gpl" and got[51]["score"] == got[53]["score"] == 1
 
 
@@ -185,6 +187,13 @@ def test_language_mixture(spark):
     assert [(got[k]["lang_pred"], got[k]["score"]) for k in (100, 101)] == [("und", 0.0)] * 2
     assert got[102]["lang_pred"] == "aa" and 0.55 < got[102]["score"] < 0.95 and "bb:" in got[102]["lang_shares"]
     assert got[None]["lang_pred"] == "bb" and not got[None]["held_out"]
+    short = [(k, t, None, "s", 0) for k, t in enumerate(["ta", "vor", "ñu", "日", "ok?"])]
+    table, names = language.learn(docs)[::-1]
+    got = {r["doc_id"]: r for r in language.identify(spark.createDataFrame(short, docs.schema), names, table).collect()}
+    assert [got[k]["lang_pred"] for k in range(3)] == ["aa", "bb", "cc"]
+    assert all(0 < r["score"] <= 1 for r in got.values())
+    share = language.Mixture(np.zeros((1, language.BUCKETS)), table).select()
+    assert share.tolist() == [[1 / 3] * 3]
     unlearned = language.identify_held_out(docs.where("lang IS NULL")).collect()
     assert {r["lang_pred"] for r in unlearned} == {"und"}
 
