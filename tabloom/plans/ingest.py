@@ -1,26 +1,22 @@
 """From messages to destination tables.
 
 A batch is decoded once into a stage folder. All its tables are then handled together:
-schemas, conflicts, ids and metrics are joins and aggregates over table names. Only values
-are cast schema by schema, so the number of Spark jobs grows with the distinct schemas of a
-batch and not with its tables.
+schemas, conflicts, casts, ids and metrics are joins, expressions and aggregates over rows that
+bring their table's schema along, so the number of Spark jobs grows neither with the tables
+of a batch nor with its schemas.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, functions as F
 
 from tabloom.functions.canonical import row_hash
 from tabloom.operators.dedupe import assign_ids, dedupe_batch
 from tabloom.operators.envelope import decode_messages, first_schemas, malformed, well_formed
-from tabloom.operators.load import judge_rows, unpack_typed
-from tabloom.sources.tables import TableStore
+from tabloom.operators.slots import cast_records
+from tabloom.sources.tables import TableStore, bucket
 from tabloom.sources.topic import with_positions
 
-PREFIX_DIGITS = 2
-
 
 def hashed_records(decoded: DataFrame) -> DataFrame:
     """One row per distinct (table, record, schema) with hash, earliest position and number of copies.
@@ -45,12 +41,15 @@ def _staged(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def skip_stored(records: DataFrame, store: TableStore, batch: str) -> DataFrame:
-    """Records that no earlier batch has stored. The key index is read only where it can
-    hold one of the batch's hashes."""
-    prefix = F.substring("_row_hash", 1, PREFIX_DIGITS)
-    prefixes = [r["p"] for r in records.select(prefix.alias("p")).distinct().collect()]  # at most 16 ** PREFIX_DIGITS
-    held = store.keys(prefixes).filter(F.col("_batch") != batch).select("table_name", "_row_hash")
+def skip_stored(records: DataFrame, store: TableStore) -> DataFrame:
+    """Records (table_name, _row_hash, ``_bucket``) that no earlier batch has stored. Only tables that
+    existed before the batch can hold one, and of the key index only their folders are read."""
+    earlier = store.registry().select("table_name").distinct()
+    old = records.join(earlier, "table_name", "left_semi")
+    buckets = [r["_bucket"] for r in old.select("_bucket").distinct().collect()]  # at most BUCKETS
+    if not buckets:
+        return records
+    held = store.keys(buckets).select("table_name", "_row_hash")
     return records.join(held, ["table_name", "_row_hash"], "left_anti")
 
 
@@ -64,9 +63,22 @@ def _reject_rows(judged: DataFrame, batch_id: int) -> DataFrame:
     )
 
 
+def judge_records(records: DataFrame, schema: str = "stored") -> DataFrame:
+    """Add ``cells``, ``width``, ``reason`` and ``detail`` to records of any tables: each is cast under the schema
+    of its own table, all in one pass. ``columns`` is the schema the message brought."""
+    names = lambda c: F.transform(c, lambda x: x["name"])
+    extra = F.array_except(names(F.col("columns")), names(F.col(schema)))
+    cast = cast_records(records, schema).withColumn("extra", extra)
+    return cast.withColumns({
+        "reason": F.when(F.size("extra") > 0, F.lit("unknown_column")).when(F.size("bad") > 0, F.lit("bad_value")),
+        "detail": F.when(F.size("extra") > 0, F.to_json("extra")).when(F.size("bad") > 0, F.to_json("bad")),
+    }).drop("extra", "bad")
+
+
 def ingest_batch(messages: DataFrame, batch_id: int, store: TableStore, stage_path: str, run: str = "run") -> None:
     """Load one batch of messages. ``run`` names the consumer: batches of different runs keep
-    their rejects and metrics apart. Safe to repeat: a second attempt writes the same again.
+    their rejects and metrics apart. Safe to repeat: a second attempt writes the same again,
+    and a batch that is committed is not loaded once more.
 
     The stored schema of a table decides. Records that name unknown columns or hold values
     their column cannot take are rejected with the reason; the rest proceed. Conflicts and
@@ -74,38 +86,27 @@ def ingest_batch(messages: DataFrame, batch_id: int, store: TableStore, stage_pa
     leaves a gap in the ids.
     """
     batch = f"{run}-{batch_id}"
+    if store.committed(batch):
+        return
     decoded = decode_messages(with_positions(messages))
     decoded = decoded.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value")))
     staged = _staged(decoded.select("value", "partition", "offset", "schema", "record", "reason"), f"{stage_path}/decoded")
     good = well_formed(staged)
     store.ensure_all(first_schemas(good), batch)
-    records = _staged(hashed_records(good), f"{stage_path}/records")
-    stored = store.registry().select("table_name", F.col("columns").alias("stored"))
+    records = _staged(hashed_records(good).withColumn("_bucket", bucket(F.col("table_name"))), f"{stage_path}/records")
+    stored = store.registry(batch).select("table_name", F.col("columns").alias("stored"))
     known = records.join(stored, "table_name")
     names = lambda c: F.transform(c, lambda x: x["name"])
     strange = F.size(F.array_except(names(F.col("columns")), names(F.col("stored")))) > 0
 
-    fresh = dedupe_batch(skip_stored(known.filter(~strange), store, batch), ["table_name", "_row_hash"])
+    fresh = dedupe_batch(skip_stored(known.filter(~strange), store), ["table_name", "_row_hash"])
     fresh = _staged(fresh, f"{stage_path}/fresh")
-    numbered = assign_ids(fresh, ["table_name"], store.last_ids(batch))
-    candidates = _staged(
-        numbered.unionByName(known.filter(strange).withColumn("_id", F.lit(None).cast("bigint"))), f"{stage_path}/candidates"
-    )
-
-    common = ["table_name", "_row_hash", "_id", "record", "partition", "offset", "reason", "detail"]
-    judged: list[DataFrame] = []
-    for number, row in enumerate(candidates.select("stored").distinct().collect()):  # a row for each distinct schema
-        columns = [(c["name"], c["type"]) for c in row["stored"]]
-        this = F.to_json(F.struct("stored")) == F.to_json(F.struct(F.array(*[F.struct(F.lit(n).alias("name"), F.lit(t).alias("type")) for n, t in columns]).alias("stored")))
-        one = _staged(judge_rows(candidates.filter(this), columns).select(*common, "typed"), f"{stage_path}/judged-{number}")
-        store.append(batch, one.filter(F.col("reason").isNull()).select("table_name", "_id", "_row_hash", *unpack_typed(columns)))
-        judged.append(one.select(*common))
-
-    every = reduce(DataFrame.unionByName, judged) if judged else candidates.limit(0).withColumns({"reason": F.lit(None).cast("string"), "detail": F.lit(None).cast("string")}).select(*common)
-    keys = every.filter(F.col("reason").isNull()).select(
-        "table_name", "_row_hash", "_id", F.substring("_row_hash", 1, PREFIX_DIGITS).alias("prefix")
-    )
-    store.write("keys", batch, keys.hint("rebalance", "prefix"), "prefix")
+    numbered = assign_ids(fresh, ["table_name"], store.last_ids())
+    candidates = numbered.unionByName(known.filter(strange).withColumn("_id", F.lit(None).cast("bigint")))
+    every = _staged(judge_records(candidates).drop("stored", "columns", "copies"), f"{stage_path}/judged")
+    stays = every.filter(F.col("reason").isNull())
+    store.append(batch, stays)
+    store.write("keys", batch, stays.select("table_name", "_row_hash", "_id", "_bucket").hint("rebalance", "_bucket"), "_bucket")
     unread = malformed(staged).select(
         F.lit("decode").alias("stage"),
         F.concat_ws("/", F.col("partition"), F.col("offset")).alias("key"),
@@ -120,7 +121,7 @@ def ingest_batch(messages: DataFrame, batch_id: int, store: TableStore, stage_pa
         F.count("reason").alias("rejected"),
         F.max(F.when(F.col("reason").isNull(), F.col("_id"))).alias("_last"),
     )
-    counted = received.join(outcome, "table_name", "left").join(store.last_ids(batch), "table_name", "left")
+    counted = received.join(outcome, "table_name", "left").join(store.last_ids(), "table_name", "left")
     store.write("metrics", batch, counted.select(
         F.lit(batch_id).cast("bigint").alias("batch_id"),
         "table_name",
@@ -129,3 +130,4 @@ def ingest_batch(messages: DataFrame, batch_id: int, store: TableStore, stage_pa
         F.coalesce("rejected", F.lit(0)).alias("rejected"),
         F.coalesce("_last", "max_id", F.lit(0)).cast("bigint").alias("last_id"),
     ))
+    store.commit(batch)

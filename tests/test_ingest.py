@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tabloom.operators import dedupe, envelope, load
 from tabloom.plans import ingest
 from tabloom.sources import jdbc, topic
-from tabloom.sources.tables import TableStore
+from tabloom.sources.tables import BUCKETS, TableStore, bucket
 from tabloom.streaming.ingest import start_ingest
 
 
@@ -109,7 +109,7 @@ def test_a_bad_copy_does_not_take_a_good_one_along(spark, tmp_path):
     assert [r["a"] for r in store.read("t").collect()] == [1]
 
 
-@pytest.mark.parametrize("fails_in", ["tables", "keys", "rejects", "metrics"])
+@pytest.mark.parametrize("fails_in", ["tables", "keys", "rejects", "metrics", "commits"])
 def test_failed_batch_is_replayed(spark, tmp_path, monkeypatch, fails_in):
     """A crash after any write loses nothing, doubles nothing and leaves true metrics."""
     store = TableStore(spark, str(tmp_path / "store"))
@@ -125,7 +125,7 @@ def test_failed_batch_is_replayed(spark, tmp_path, monkeypatch, fails_in):
 
     def append(self, *given):
         calls.append(given)
-        if fails_in == "tables" and len(calls) == 2:
+        if fails_in == "tables" and len(calls) == 1:
             raise RuntimeError("lost")
         real_append(self, *given)
 
@@ -157,26 +157,106 @@ def test_runs_keep_their_rejects(spark, tmp_path):
     assert sorted(r["inserted"] for r in store.metrics().collect()) == [0, 1]
 
 
-def test_jobs_follow_schemas_not_tables(spark, tmp_path):
-    def jobs(tables):
-        group = f"count-{tables}"
-        spark.sparkContext.setJobGroup(group, group)
-        store = TableStore(spark, str(tmp_path / group))
-        ingest.ingest_batch(frame(spark, [message(f"t{i}", {"a": "1"}) for i in range(tables)]), 0, store, str(tmp_path / f"{group}-stage"))
-        assert len(store.names()) == tables
-        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+def test_jobs_follow_neither_tables_nor_schemas(spark, tmp_path):
+    def jobs(label, messages):
+        spark.sparkContext.setJobGroup(label, label)
+        store = TableStore(spark, str(tmp_path / label))
+        ingest.ingest_batch(frame(spark, messages), 0, store, str(tmp_path / f"{label}-stage"))
+        spark.sparkContext.setJobGroup("other", "other")
+        assert len(store.names()) == len(messages)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(label))
+
+    few = jobs("few", [message(f"t{i}", {"a": "1"}) for i in range(3)])
+    assert jobs("tables", [message(f"t{i}", {"a": "1"}) for i in range(150)]) <= few + 3
+    assert jobs("schemas", [message(f"t{i}", {f"a{i}": "1"}, ((f"a{i}", "BIGINT"), ("b", "TEXT"))) for i in range(150)]) <= few + 3
+
+
+def test_tables_of_any_schema_share_files(spark, tmp_path):
+    """Every type, wide headers and names with odd signs come back under their own names and types."""
+    kinds = ["BIGINT", "DOUBLE", "TIMESTAMP", "DATE", "VARCHAR(512)", "TEXT", "POINT"]
+    texts = {"BIGINT": "1,000", "DOUBLE": "50%", "TIMESTAMP": "2023-04-05 06:07:08", "DATE": "2023-04-05"}
+    tables = {f"t {k}/é": [(f"c{k} {i}", kinds[(i * (k + 1)) % 7]) for i in range(1 + 7 * k)] for k in range(8)}
+    tables["wide"] = [(f"w{i}", "TEXT") for i in range(300)]
+    values = [message(name, {n: texts.get(t, n) for n, t in columns}, columns) for name, columns in tables.items()]
+    values += [message("wide", {"w299": "last"}, tables["wide"]), message("wide", {}, tables["wide"])]
+    store = TableStore(spark, str(tmp_path / "store"))
+    ingest.ingest_batch(frame(spark, values), 0, store, str(tmp_path / "stage"))
+    want = {"BIGINT": 1000, "DOUBLE": 50.0, "TIMESTAMP": "2023-04-05 06:07:08", "DATE": "2023-04-05"}
+    for name, columns in tables.items():
+        rows = store.read(name)
+        assert rows.columns == ["_id", "_row_hash", *(n for n, _ in columns)]
+        assert [f.metadata["declared"] for f in rows.schema.fields[2:]] == [t for _, t in columns]
+        full = [r for r in rows.collect() if r[2] is not None][0]
+        assert [str(v) if t in ("TIMESTAMP", "DATE") else v for v, (_, t) in zip(full[2:], columns)] == [want.get(t, n) for n, t in columns]
+    assert store.read("wide").count() == 3 and store.read("wide").filter("w299 = 'last'").count() == 1
+    assert store.read_all(tables["wide"]).select("table_name").distinct().collect() == [("wide",)]
+    cells = store.cells().filter("value is not null").groupBy("table_name").count().collect()
+    assert dict(cells) == {name: len(columns) + (name == "wide") for name, columns in tables.items()}
+    files = [f for f in (tmp_path / "store" / "tables").rglob("*.parquet")]
+    assert {f.parent.parent.name for f in files} == {f"_width={2**k}" for k in (3, 4, 5, 6, 9)}
+
+
+def test_many_tables_make_few_files(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "store"))
+    ingest.ingest_batch(frame(spark, [message(f"t{i}", {"a": "1"}) for i in range(2000)]), 0, store, str(tmp_path / "stage"))
+    assert len(list((tmp_path / "store" / "tables").rglob("*.parquet"))) <= BUCKETS
+    assert store.read("t1999").count() == 1
+
+
+def test_readers_see_committed_batches_only(spark, tmp_path):
+    seen = []
 
-    assert jobs(150) <= jobs(3) + 3
+    class Watched(TableStore):
+        def commit(self, batch):
+            seen.append((self.names(), self.metrics().count(), self.rejects().count(), self.read("t").count() if self.names() else 0))
+            super().commit(batch)
+
+    store = Watched(spark, str(tmp_path / "store"))
+    for k in range(2):
+        ingest.ingest_batch(frame(spark, [message("t", {"a": str(k)}), message(f"u{k}", {"a": "1"}), "junk"]), k, store, str(tmp_path / "stage"))
+    assert seen == [([], 0, 0, 0), (["t", "u0"], 2, 1, 1)]
+    assert store.names() == ["t", "u0", "u1"] and store.read("t").count() == 2 and store.rejects().count() == 2
+
+
+def test_a_committed_batch_is_not_loaded_again(spark, tmp_path, monkeypatch):
+    store = TableStore(spark, str(tmp_path / "store"))
+    ingest.ingest_batch(frame(spark, [GOOD]), 0, store, str(tmp_path / "stage"))
+    monkeypatch.setattr(TableStore, "write", lambda *given: pytest.fail("written again"))
+    ingest.ingest_batch(frame(spark, [GOOD]), 0, store, str(tmp_path / "stage"))
+    assert store.read("t").count() == 1
 
 
-def test_only_hit_folders_of_the_index_are_read(spark, tmp_path):
+def test_only_folders_of_known_tables_are_read(spark, tmp_path, monkeypatch):
+    """10,000 keys of five tables meet under 5 per cent of the index; keys of new tables meet none."""
     store = TableStore(spark, str(tmp_path / "store"))
-    ingest.ingest_batch(frame(spark, [message("t", {"a": str(i)}) for i in range(300)]), 0, store, str(tmp_path / "stage"))
-    one = store.keys(["00"])
-    one.collect()
-    plan = one._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(prefix" in plan or "PartitionFilters: [(prefix" in plan
-    assert {r["prefix"] for r in one.collect()} == {"00"} and store.keys([]).count() == 0
+    rows = spark.range(30_000).select(
+        F.concat(F.lit("t"), F.col("id") % 1500).alias("table_name"), F.sha2(F.col("id").cast("string"), 256).alias("_row_hash"),
+        F.col("id").alias("_id"),
+    ).withColumn("_bucket", bucket(F.col("table_name")))
+    store.write("keys", "old-0", rows.repartition("_bucket"), "_bucket")
+    store.write("registry", "old-0", rows.select("table_name", F.expr("array(named_struct('name', 'a', 'type', 'TEXT')) columns")).distinct())
+    store.commit("old-0")
+    asked, keys = [], TableStore.keys
+
+    def watched(self, buckets):
+        found = keys(self, buckets)
+        asked.append(len(found.inputFiles()) if not buckets else len({b for b in buckets}))
+        return found
+
+    monkeypatch.setattr(TableStore, "keys", watched)
+    batch = spark.range(10_000).select(F.concat(F.lit("t"), F.col("id") % 5).alias("table_name"), F.sha2(F.col("id").cast("string"), 256).alias("_row_hash"))
+    batch = batch.withColumn("_bucket", bucket(F.col("table_name")))
+    fresh = ingest.skip_stored(batch, store)
+    scans = fresh._jdf.queryExecution().optimizedPlan().toString()
+    assert "_bucket" in scans and 0 < asked[-1] <= 0.05 * BUCKETS
+    held = {(r["table_name"], r["_row_hash"]) for r in rows.collect()}
+    want = {(r["table_name"], r["_row_hash"]) for r in batch.collect()} - held
+    assert {(r["table_name"], r["_row_hash"]) for r in fresh.collect()} == want and len(want) < 10_000
+    files = fresh._jdf.queryExecution().executedPlan()
+    assert "PartitionFilters" in files.toString()
+    new = batch.withColumn("table_name", F.concat(F.lit("new"), "table_name"))
+    count = len(asked)
+    assert ingest.skip_stored(new, store).count() == 10_000 and len(asked) == count
 
 
 UNUSABLE = {

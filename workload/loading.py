@@ -17,7 +17,7 @@ from tabloom.sources.tables import TableStore
 from tabloom.streaming.ingest import running_totals, start_ingest
 from workload import fixtures
 from workload.base import (
-    LINEITEM_VALUES, Tables, lineitem_values, query, sql_date, sql_int, sql_is_float, sql_number_text, sql_timestamp,
+    LINEITEM_VALUES, Tables, choose, lineitem_values, query, sql_date, sql_int, sql_is_float, sql_number_text, sql_timestamp,
 )
 from workload.fixtures import ORDER_COLUMNS
 from workload.messages import GOOD_EVENTS, event_messages
@@ -183,6 +183,7 @@ def ensure_table(t: Tables) -> DataFrame:
     for batch, columns in enumerate((ORDER_COLUMNS, [("other", "TEXT")])):
         listed = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(d).alias("type")) for n, d in columns])
         store.ensure_all(names.withColumn("columns", listed), f"ensure-{batch}")
+        store.commit(f"ensure-{batch}")
     return store.registry().select("table_name", F.posexplode("columns").alias("pos", "c")).select("table_name", "pos", "c.name", "c.type")
 
 
@@ -254,39 +255,118 @@ def stream_replay(t: Tables) -> DataFrame:
     return sizes.join(received, "table_name")
 
 
+# A table and a schema of its own for every thousandth event.
+_ROOM = "CAST(event_id % 1000 AS STRING)"
+_ROOM_KINDS = ["BIGINT", "DOUBLE", "DATE", "VARCHAR(512)"]
+
+
+def room_messages(t: Tables) -> DataFrame:
+    kind = choose("event_id % 4", _ROOM_KINDS, "'TEXT'")
+    value = "CASE event_id % 4 WHEN 2 THEN '2024-02-' || (10 + user_id % 19) ELSE CAST(user_id AS STRING) END"
+    text = (
+        f"""concat('{{"schema":{{"table_name":"room_', {_ROOM}, '","columns":[{{"name":"v', {_ROOM}, '","type":"', {kind}, '"}},"""
+        f"""{{"name":"kind","type":"TEXT"}}]}},"record":{{"v', {_ROOM}, '":"', {value}, '","kind":"', event_type, '"}}}}')"""
+    )
+    return t.events.select(F.expr(text).alias("value"), (F.col("event_id") % 4).cast("int").alias("partition"), F.col("event_id").alias("offset"))
+
+
 @query(
     "stream_fanout",
-    f"SELECT table_name, CAST(min(user_id) AS BIGINT) AS low, CAST(max(user_id) AS BIGINT) AS high, count(*) AS n_rows FROM "
-    f"(SELECT DISTINCT event_type AS table_name, user_id, event_id % 10 = 3 AS late FROM {GOOD_EVENTS}) GROUP BY 1",
+    "WITH e AS (SELECT DISTINCT event_id % 1000 AS room, event_type, CASE event_id % 4 WHEN 2 THEN user_id % 19 ELSE user_id END AS v FROM events) "
+    "SELECT 'room_' || room AS table_name, 'v' || room AS name, count(*) AS n_rows, "
+    "CAST(sum(CASE room % 4 WHEN 2 THEN 10 + v ELSE v END) AS BIGINT) AS total FROM e GROUP BY room "
+    "UNION ALL SELECT 'room_' || room, 'kind', count(*), CAST(sum(length(event_type)) AS BIGINT) FROM e GROUP BY room",
 )
 def stream_fanout(t: Tables) -> DataFrame:
-    """Two deliveries feed five tables, each created on first sight."""
+    """Two deliveries feed a thousand tables, each created on first sight with columns of its own."""
     store = new_store(t, "fanout")
-    for part in ("offset % 2 = 0", "offset % 2 = 1"):
-        topic.publish(plain_messages(t).filter(part), "parquet", partitions=1, path=f"{store.root}-topic")
+    for part in ("offset % 3 = 0", "offset % 3 > 0"):
+        topic.publish(room_messages(t).filter(part), "parquet", path=f"{store.root}-topic")
         _drain(t, store, f"{store.root}-topic", f"{store.root}-progress")
-    return loaded(store).groupBy("table_name").agg(
-        F.min("user_id").alias("low"), F.max("user_id").alias("high"), F.count(F.lit(1)).alias("n_rows")
+    number = F.when(F.col("column") == "kind", F.length("value")).when(F.col("type") == "DATE", F.day(F.col("value").cast("date")))
+    total = F.sum(F.coalesce(number, F.col("value").cast("double")).cast("long")).alias("total")
+    return store.cells().groupBy("table_name", F.col("column").alias("name")).agg(F.count("*").alias("n_rows"), total)
+
+
+_PART_VALUE = (
+    "CASE l_partkey % 4 WHEN 0 THEN CASE WHEN l_linenumber = 6 THEN 'n/a' ELSE CAST(l_orderkey AS STRING) || ',000' END "
+    "WHEN 1 THEN '$' || CAST(l_linenumber AS STRING) || '.5' WHEN 2 THEN CAST(CAST(l_shipdate AS DATE) AS STRING) || ' 09:30:00' "
+    "ELSE l_returnflag || l_linestatus END"
+)
+_PART_KINDS = ["BIGINT", "DOUBLE", "TIMESTAMP"]
+
+
+@query(
+    "ingest_many_schemas",
+    f"WITH v AS (SELECT DISTINCT l_partkey, {_PART_VALUE} AS value, l_linenumber AS line FROM lineitem), "
+    "k AS (SELECT 'part_' || l_partkey AS table_name, 'v' || l_partkey AS name, CASE l_partkey % 4 WHEN 0 THEN replace(value, ',', '') "
+    "WHEN 1 THEN replace(value, '$', '') ELSE value END AS value, line FROM v WHERE value <> 'n/a') "
+    "SELECT table_name, name, count(*) AS n_rows, min(value) AS low, max(value) AS high FROM k GROUP BY 1, 2 "
+    "UNION ALL SELECT table_name, 'line', count(*), CAST(min(line) AS VARCHAR), CAST(max(line) AS VARCHAR) FROM k GROUP BY 1 "
+    "UNION ALL SELECT 'part_' || l_partkey, 'aside', count(*), NULL, NULL FROM v WHERE value = 'n/a' GROUP BY 1",
+)
+def ingest_many_schemas(t: Tables) -> DataFrame:
+    """Line items into a table for each part, no two with the same columns, in one batch."""
+    kind = choose("l_partkey % 4", _PART_KINDS, "'TEXT'")
+    text = (
+        """concat('{"schema":{"table_name":"part_', l_partkey, '","columns":[{"name":"v', l_partkey, '","type":"', """ + kind
+        + """, '"},{"name":"line","type":"BIGINT"}]},"record":{"v', l_partkey, '":"', """ + _PART_VALUE + """, '","line":"', l_linenumber, '"}}')"""
     )
+    store = new_store(t, "schemas")
+    ingest_batch(t.lineitem.select(F.expr(text).alias("value")), 0, store, f"{store.root}/stage")
+    kept = store.cells().groupBy("table_name", F.col("column").alias("name"))
+    kept = kept.agg(F.count("*").alias("n_rows"), F.min("value").alias("low"), F.max("value").alias("high"))
+    aside = store.rejects().groupBy(F.split_part("key", F.lit("/"), F.lit(1)).alias("table_name"), F.lit("aside").alias("name"))
+    none = F.lit(None).cast("string")
+    return kept.unionByName(aside.agg(F.count("*").alias("n_rows")).withColumns({"low": none, "high": none}))
+
+
+class _Watched(TableStore):
+    """A store that looks at itself, as a reader does, just before each batch is committed."""
 
+    def commit(self, batch: str) -> None:
+        path = f"{self.root}-seen/{batch}"
+        self.counts(batch).write.parquet(path)
+        super().commit(batch)
 
-_BOUND = 500
+    def counts(self, moment: str) -> DataFrame:
+        rows = loaded(self) if self.names() else self.spark.createDataFrame([], "table_name string")
+        stored = rows.agg(F.count("*").alias("n_rows"), F.count_distinct("table_name").alias("n_tables"))
+        received = self.metrics().agg(F.coalesce(F.sum("received"), F.lit(0)).cast("long").alias("received"))
+        return stored.join(received).withColumn("moment", F.lit(moment))
+
+
+@query(
+    "read_during_batch",
+    f"WITH m(moment, below) AS (VALUES ('run-0', 0), ('run-1', 4), ('after', 100)) "
+    "SELECT moment, count(DISTINCT (table_name, row_hash)) FILTER (part < below) AS n_rows, count(DISTINCT table_name) FILTER (part < below) AS n_tables, "
+    f"count(*) FILTER (part < below) AS received FROM m, {_HASHED} GROUP BY 1",
+)
+def read_during_batch(t: Tables) -> DataFrame:
+    """What a reader sees when all of a batch is written but not committed: nothing of it."""
+    store = _Watched(t.spark, work_dir(t.spark, "watched"))
+    for batch, part in enumerate(("partition < 4", "partition >= 4")):
+        ingest_batch(plain_messages(t).filter(part), batch, store, f"{store.root}/stage-{batch}")
+    after = store.counts("after")
+    return t.spark.read.schema(after.schema).parquet(f"{store.root}-seen/*").unionByName(after)
+
+
+_BOUND = 1500
 
 
 @query(
     "stream_count_bound",
-    f"SELECT CAST(ceil(count(*) / {_BOUND}.0) AS BIGINT) AS n_batches, (SELECT count(*) FROM {GOOD_EVENTS}) AS received, true AS bounded FROM events",
+    f"SELECT (SELECT count(*) FROM {GOOD_EVENTS}) AS received, true AS bounded, true AS enough",
 )
 def stream_count_bound(t: Tables) -> DataFrame:
-    """Micro-batches of a bounded number of messages: files of so many, one file a batch."""
+    """Micro-batches of a bounded number of messages: files of so many, one file a batch, written by all partitions."""
     store = new_store(t, "bound")
-    topic.publish(plain_messages(t).coalesce(1), "parquet", batch_size=_BOUND, path=f"{store.root}-topic")
+    topic.publish(plain_messages(t), "parquet", batch_size=_BOUND, path=f"{store.root}-topic")
     stream = topic.stream_topic(t.spark, "parquet", topic.POSITIONED_DDL, batch_size=1, path=f"{store.root}-topic")
     start_ingest(stream, store, f"{store.root}-progress", interval=None).awaitTermination()
     batches = store.metrics().groupBy("batch_id").agg(F.sum("received").alias("received"))
-    return batches.agg(
-        F.count("*").alias("n_batches"), F.sum("received").alias("received"), (F.max("received") <= _BOUND).alias("bounded")
-    )
+    enough = F.count("*") >= F.ceil(F.sum("received") / _BOUND)
+    return batches.agg(F.sum("received").alias("received"), (F.max("received") <= _BOUND).alias("bounded"), enough.alias("enough"))
 
 
 @query(
@@ -297,7 +377,7 @@ def stream_timed_stop(t: Tables) -> DataFrame:
     """A timed trigger, stopped by hand after the first half and started again for the second."""
     store = new_store(t, "timed")
     for part in ("offset % 2 = 0", "offset % 2 = 1"):
-        topic.publish(plain_messages(t).filter(part), "parquet", partitions=1, path=f"{store.root}-topic")
+        topic.publish(plain_messages(t).filter(part), "parquet", path=f"{store.root}-topic")
         stream = topic.stream_topic(t.spark, "parquet", topic.POSITIONED_DDL, path=f"{store.root}-topic")
         running = start_ingest(stream, store, f"{store.root}-progress", interval="1 second")
         running.processAllAvailable()
@@ -375,7 +455,7 @@ def schema_drift(t: Tables) -> DataFrame:
     """Later messages name a column the stored tables lack: they are set aside, the tables keep their schema."""
     store = new_store(t, "drift")
     for part in ("offset <= 5000", "offset > 5000"):
-        topic.publish(event_messages(t).filter(part), "parquet", partitions=1, path=f"{store.root}-topic")
+        topic.publish(event_messages(t).filter(part), "parquet", path=f"{store.root}-topic")
         _drain(t, store, f"{store.root}-topic", f"{store.root}-progress")
     aside = store.rejects().filter("stage = 'load'").groupBy(
         F.split_part("key", F.lit("/"), F.lit(1)).alias("table_name"), "reason"
