@@ -20,13 +20,19 @@ def place_by_page(tables: DataFrame) -> DataFrame:
     return tables.repartition("page_key")
 
 
+def tied(placed: DataFrame) -> DataFrame:
+    """Placed tables with ``n_rows``, whose rows depend on all columns of the exchange: branches
+    that read them are pruned alike, so Spark runs the exchange and the extraction below it once."""
+    whole = F.col("reason").isNull() & (F.xxhash64("page_id") >= -(1 << 63))
+    return placed.withColumn("rows", F.when(whole, F.col("rows"))).withColumn("n_rows", F.size("rows"))
+
+
 def infer_schemas(tables: DataFrame) -> DataFrame:
     """``page_key, page_id, n_rows, columns`` of placed tables; each page's table has its own schema."""
-    types = infer_types(data_cells(data_rows(tables)), ["page_key", "col_idx"])
-    counted = tables.withColumn("n_rows", F.size("rows"))
-    names = name_columns(counted, ["page_key", "n_rows"])
-    schemas = table_schemas(names, types, ["page_key"], F.max("n_rows").alias("n_rows"))
-    return schemas.join(tables.select("page_key", "page_id"), "page_key")
+    whole = tied(tables)
+    types = infer_types(data_cells(data_rows(whole, keep_empty=True)), ["page_key", "col_idx"])
+    names = name_columns(whole, ["page_key", "page_id", "n_rows"])
+    return table_schemas(names, types, ["page_key"], F.first("page_id").alias("page_id"), F.max("n_rows").alias("n_rows"))
 
 
 def judged_rows(tables: DataFrame, table_name: Column | str = TABLE_NAME) -> DataFrame:
@@ -37,18 +43,15 @@ def judged_rows(tables: DataFrame, table_name: Column | str = TABLE_NAME) -> Dat
     columns of that one exchange, so Spark runs the extraction below it once.
     """
     name = F.lit(table_name) if isinstance(table_name, str) else table_name
-    placed = place_by_page(tables)
-    # Every branch reads all columns of the exchange, or Catalyst would prune it three ways.
-    whole = F.col("reason").isNull() & (F.xxhash64("page_id") >= -(1 << 63))
-    tied = placed.withColumn("rows", F.when(whole, F.col("rows"))).withColumn("n_rows", F.size("rows"))
-    types = infer_types(data_cells(data_rows(tied, keep_empty=True)), ["page_key", "col_idx"])
-    names = name_columns(tied, ["page_key", "n_rows"])
+    whole = tied(place_by_page(tables))
+    types = infer_types(data_cells(data_rows(whole, keep_empty=True)), ["page_key", "col_idx"])
+    names = name_columns(whole, ["page_key", "n_rows"])
     schema = F.struct(sanitise_name(name).alias("table_name"), F.col("columns").alias("columns"))
     described = table_schemas(names, types, ["page_key"], F.max("n_rows").alias("n_rows")).filter("n_rows > 0")
     described = described.select("page_key", schema.alias("schema")).withColumns(
         {"schema_text": schema_json(F.col("schema")), "keys": key_order(F.col("schema.columns.name"))}
     )
-    joined = tied.join(described, "page_key", "left")
+    joined = whole.join(described, "page_key", "left")
     rows = data_rows(joined, "schema", "schema_text", "keys", "reason", keep_empty=True)
     return rows.withColumn("reason", F.when(F.col("row_idx").isNull(), F.coalesce("reason", F.lit("no_data"))))
 

@@ -124,7 +124,19 @@ def test_messages_parse_pages_once(spark, tmp_path):
     spark.createDataFrame(pages, "page_id bigint, html string").write.parquet(str(tmp_path / "pages"))
     messages = publish.build_messages(spark.read.parquet(str(tmp_path / "pages")), "T", css_class=None)
     assert messages.count() == 40
-    frame = messages.select("value")
-    frame.collect()
-    plan = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    assert plan.count("MapInArrow") == 1 and plan.count("ReusedExchange") == 2
+    assert plan_of(messages.select("value"), "MapInArrow", "ReusedExchange") == [1, 2]
+
+
+def plan_of(df, *operators):
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return [plan.count(o) for o in operators]
+
+
+def test_schemas_parse_pages_once(spark, tmp_path):
+    from tabloom.operators.extract import extract_tables
+
+    pages = [(i, page(["a", "b"], [str(i), "x"], ["2", "y"])) for i in range(20)]
+    spark.createDataFrame(pages, "page_id bigint, html string").write.parquet(str(tmp_path / "pages"))
+    tables = extract_tables(spark.read.parquet(str(tmp_path / "pages")))
+    assert plan_of(publish.infer_schemas(publish.place_by_page(tables)), "MapInArrow", "ReusedExchange") == [1, 1]

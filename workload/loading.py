@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from tabloom.functions import literals
 from tabloom.operators import dedupe, envelope, load
 from tabloom.operators.extract import extract_tables
+from tabloom.operators.slots import cast_records
 from tabloom.plans.ingest import hashed_records, ingest_batch
 from tabloom.plans.publish import records_with_schema
 from tabloom.session import work_dir
@@ -64,8 +65,8 @@ def quarantine_bad_rows(t: Tables) -> DataFrame:
         "array(named_struct('name','a','type','BIGINT'), named_struct('name','b','type','DOUBLE'), "
         "named_struct('name','c','type',if(l_linenumber % 2 = 0, 'DATE', 'TIMESTAMP')), named_struct('name','d','type','TEXT'))"
     )
-    bad = load.bad_cells_by_schema(record, columns)
-    return lineitem_values(t).select("l_orderkey", "l_linenumber", F.explode(bad).alias("b")).select(
+    values = lineitem_values(t).select("l_orderkey", "l_linenumber", record.alias("record"), columns.alias("stored"))
+    return cast_records(values, "stored").select("l_orderkey", "l_linenumber", F.explode("bad").alias("b")).select(
         "l_orderkey", "l_linenumber", F.col("b.column").alias("column_name"), "b.value"
     )
 
