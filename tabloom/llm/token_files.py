@@ -38,7 +38,7 @@ from tabloom.llm.tokens import coder
 from tabloom.session import work_dir
 
 MAGIC = b"PFORIDS1"
-BLOCK = 4096
+BLOCK = 1 << 14
 PERCENTILE = 90
 FILE_IDS = 2_000_000
 END_ID = 0
@@ -50,12 +50,11 @@ def pack_block(ids: np.ndarray, percentile: int = PERCENTILE) -> bytes:
     above = ids - np.uint32(low)
     at = (len(above) - 1) * percentile // 100
     width = int(np.partition(above, at)[at]).bit_length()
-    bits = np.unpackbits(above.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, count=width, bitorder="little")
-    planes = np.packbits(bits.T, axis=1).tobytes()
-    high = (above.astype(np.uint64) >> np.uint64(width)).astype("<u4")
+    planes = [np.packbits((above & np.uint32(1 << b)) != 0).tobytes() for b in range(width)]
+    high = above >> np.uint32(width) if width < 32 else np.zeros_like(above)
     odd = np.flatnonzero(high)
     head = np.array((low, len(ids), len(odd), width), _BLOCK_HEAD).tobytes()
-    return b"".join([head, planes, odd.astype("<u2").tobytes(), high[odd].tobytes()])
+    return b"".join([head, *planes, odd.astype("<u2").tobytes(), high[odd].astype("<u4").tobytes()])
 
 
 def unpack_block(data: bytes | memoryview, at: int = 0) -> np.ndarray:
@@ -63,10 +62,12 @@ def unpack_block(data: bytes | memoryview, at: int = 0) -> np.ndarray:
     low, count, odd, width = (int(head[name]) for name in ("low", "ids", "exceptions", "width"))
     at += _BLOCK_HEAD.itemsize
     size = -(-count // 8)
-    planes = np.frombuffer(data, np.uint8, width * size, at).reshape(width, size)
-    bits = np.zeros((count, 32), np.uint8)
-    bits[:, :width] = np.unpackbits(planes, axis=1, count=count).T
-    out = np.packbits(bits, axis=1, bitorder="little").view("<u4").ravel()
+    planes = np.unpackbits(np.frombuffer(data, np.uint8, width * size, at).reshape(width, size), axis=1, count=count)
+    kind = np.uint16 if width <= 16 else np.uint32
+    out = np.zeros(count, kind)
+    for b in range(width):
+        out |= planes[b].astype(kind) << kind(b)
+    out = out.astype(np.uint32)
     at += width * size
     position = np.frombuffer(data, "<u2", odd, at)
     high = np.frombuffer(data, "<u4", odd, at + 2 * odd)
