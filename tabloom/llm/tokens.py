@@ -60,7 +60,9 @@ class TokenCoder:
         self.older: dict[str, bytes] = {}
 
     def _unit(self, unit: str) -> bytes:
-        letters = unit.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return self._letters(unit.encode().decode("latin-1").translate(_BYTE_LETTERS))
+
+    def _letters(self, letters: str) -> bytes:
         return b"".join([self.bytes_of[t.id] for t in self.model.tokenize(letters)])
 
     def _plain(self, text: str) -> bytes:
@@ -73,7 +75,11 @@ class TokenCoder:
 
     def _after_space(self, rest: str) -> bytes:
         ids = self.older.get(rest)
-        return self._piece(" " + rest) if ids is None else ids
+        if ids is not None:
+            return ids
+        if rest.isascii() and rest.isalpha():  # one unit, whose letters stand for themselves
+            return self._letters(_BYTE_LETTERS[32] + rest)
+        return self._piece(" " + rest)
 
     def _trim(self) -> None:
         if len(self.units) > self.cache:
