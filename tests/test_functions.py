@@ -55,10 +55,10 @@ def test_sanitise_name(spark):
 
 
 def test_dedupe_names(spark):
-    headers = ["change", "change", "col", "col", "a", "a_2", "a", "a", "x" * 64, "x" * 64]
+    headers = ["price", "price", "name", "name", "a", "a_2", "a", "a", "x" * 64, "x" * 64]
     df = spark.createDataFrame([(1, i, h) for i, h in enumerate(headers)], "t int, pos int, base string")
     got = [r["name"] for r in names.dedupe_names(df, ["t"], "base", "pos").orderBy("pos").collect()]
-    assert got[:8] == ["change", "change_2", "col", "col_2", "a", "a_2", "a_2__6", "a_3"]
+    assert got[:8] == ["price", "price_2", "name", "name_2", "a", "a_2", "a_2__6", "a_3"]
     assert len(set(got)) == len(got) and max(map(len, got)) <= 64
 
 

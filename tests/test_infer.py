@@ -10,8 +10,8 @@ from tabloom.plans import publish
 
 LADDER = ["BIGINT", "DOUBLE", "TIMESTAMP", "DATE"]
 SAMPLES = {
-    "I": ["5", "$1,234", "0" * 600], "F": ["1.5", "3.5%", "." + "1" * 600], "T": ["2024-01-15 09:30:00"],
-    "A": ["2024-01-15", "May 5, 2020"], "S": ["word", "long " * 120], "": ["", "—", "[1]"],
+    "I": ["5", "€70,812", "0" * 600], "F": ["1.5", "81.25%", "." + "1" * 600], "T": ["1987-11-03 21:04:59"],
+    "A": ["1987-11-03", "June 9, 2031"], "S": ["word", "long " * 120], "": ["", "—", "[1]"],
 }
 
 
