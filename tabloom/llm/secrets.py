@@ -43,50 +43,55 @@ STEPS_PER_E = 16
 DEEPEST = 700.0
 
 
-def places(text: Column, pattern: str) -> Column:
-    """(begin, end, value) of the leftmost matches that do not overlap. What lies between
-    matches has known lengths, so places follow by adding up."""
+def matches(text: Column, pattern: str) -> Column:
+    """The leftmost matches that do not overlap, as (gap, gap_bytes, value): each with the
+    length of what lies before it. Places follow by adding up."""
     pattern_ = F.lit(pattern)
     found = F.regexp_extract_all(text, pattern_, F.lit(0))
-    between = F.transform(F.split(text, pattern, -1), lambda s: F.length(s))
-    zipped = F.zip_with(between, found, lambda gap, value: F.struct(gap.alias("gap"), value.alias("value")))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<begin:int,end:int,value:string>>").alias("out"))
+    one = lambda gap, value: F.struct(F.length(gap).alias("gap"), F.octet_length(gap).alias("gap_bytes"), value.alias("value"))
+    zipped = F.filter(F.zip_with(F.split(text, pattern, -1), found, one), lambda m: m["value"].isNotNull())
+    return F.when(F.regexp_like(text, pattern_), zipped).otherwise(F.array().cast("array<struct<gap:int,gap_bytes:int,value:string>>"))
 
-    def add(state: Column, one: Column) -> Column:
-        begin = state["at"] + one["gap"]
-        end = begin + F.length(one["value"])
-        span = F.struct(begin.alias("begin"), end.alias("end"), one["value"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
 
-    return F.when(
-        F.regexp_like(text, pattern_),
-        F.aggregate(F.filter(zipped, lambda z: z["value"].isNotNull()), zero, add, lambda s: s["out"]),
-    ).otherwise(zero["out"])
+def placed_matches(documents: DataFrame) -> DataFrame:
+    """One row for each span of a base kind and each candidate (kind ``random``): doc_id,
+    text_hash, kind, begin, end, begin_byte, end_byte, value, free (it overlaps no base span).
 
-
-def of_kind(kind: str, spans: Column, good) -> Column:
-    """Spans as (begin, kind number, end), those whose value is ``good``."""
-    number = F.lit(KINDS.index(kind))
-    kept = F.filter(spans, lambda s: good(s["value"]))
-    return F.transform(kept, lambda s: F.struct(s["begin"].alias("begin"), number.alias("kind"), s["end"].alias("end")))
-
-
-def base_spans(text: Column) -> list[Column]:
-    """Spans of the kinds assign, access, hex. The patterns ask for the least length at once
-    where that cannot change what is found."""
-    secret = lambda v: F.length(F.regexp_extract(v, ASSIGN, 2)) >= 6
-    return [
-        of_kind("assign", places(text, ASSIGN), secret),
-        of_kind("access", places(text, ACCESS[:-1] + "{16,}"), lambda v: F.lit(True)),
-        of_kind("hex", places(text, HEX[:-1] + "{24,}"), lambda v: F.lit(True)),
-    ]
+    The patterns ask for the least length at once where that cannot change what is found.
+    Sums and maxima run over the matches of one text in order, so the work follows their number.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    patterns = [ASSIGN, ACCESS[:-1] + "{16,}", HEX[:-1] + "{24,}", CANDIDATE]
+    numbered = lambda kind: lambda m, at: F.struct(F.lit(kind).alias("kind"), at.alias("at"), m["gap"], m["gap_bytes"], m["value"])
+    every = F.concat(*(F.transform(matches(text, pattern), numbered(kind)) for kind, pattern in enumerate(patterns)))
+    found = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), every.alias("every"))
+    found = found.select("doc_id", "text_hash", F.explode_outer("every").alias("m")).where("m IS NOT NULL")  # rows leave the text behind
+    found = found.select("doc_id", "text_hash", "m.*").distinct().repartition("doc_id", "text_hash")
+    so_far = Window.partitionBy("doc_id", "text_hash", "kind").orderBy("at")
+    size, size_bytes = F.length("value"), F.octet_length("value")
+    found = found.withColumns({
+        "end": F.sum(F.col("gap") + size).over(so_far).cast("int"),
+        "end_byte": F.sum(F.col("gap_bytes") + size_bytes).over(so_far).cast("int"),
+    })
+    found = found.withColumns({"begin": F.col("end") - size, "begin_byte": F.col("end_byte") - size_bytes})
+    secret = F.length(F.regexp_extract("value", ASSIGN, 2)) >= 6
+    base = F.col("kind") < KINDS.index("random")
+    of_text = Window.partitionBy("doc_id", "text_hash")
+    last_end = F.max(F.when(base, F.col("end"))).over(of_text.orderBy("begin"))
+    next_begin = F.min(F.when(base, F.col("begin"))).over(of_text.orderBy(F.desc("begin")))
+    return (
+        found.where((F.col("kind") != KINDS.index("assign")) | secret)
+        .withColumns({"last_end": last_end, "next_begin": next_begin})
+        .withColumn("free", F.coalesce(F.col("last_end") <= F.col("begin"), F.lit(True)) & F.coalesce(F.col("next_begin") >= F.col("end"), F.lit(True)))
+        .select("doc_id", "text_hash", "kind", "begin", "end", "begin_byte", "end_byte", "value", "free")
+    )
 
 
 def joined(spans: Column) -> Column:
     """kind:begin:end by begin, then kind, comma-joined."""
     kinds = F.array(*map(F.lit, KINDS))
     one = lambda s: F.concat_ws(":", F.get(kinds, s["kind"]), s["begin"], s["end"])
-    return F.array_join(F.transform(F.array_sort(spans), one), ",")
+    return F.array_join(F.transform(F.sort_array(spans), one), ",")
 
 
 def complement_of_error(x: Column) -> Column:
@@ -154,82 +159,68 @@ def not_rejected(scored: DataFrame, share: float = FALSE_DISCOVERIES) -> DataFra
     return stepped.join(F.broadcast(limits), "length_class").where("limit IS NULL OR step < limit").select(*scored.columns)
 
 
-def scan_secrets(documents: DataFrame) -> DataFrame:
-    """doc_id, text_hash, n_assign, n_access, n_hex, base_sha256, spans, all_spans (begin, kind, end)."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    assign, access, hexes = base_spans(text)
-    found = stored(
-        documents.select(
-            "doc_id",
-            F.xxhash64("text").alias("text_hash"),
-            assign.alias("assign"),
-            access.alias("access"),
-            hexes.alias("hex"),
-            places(text, CANDIDATE).alias("candidates"),
-        ).withColumn("base", F.concat("assign", "access", "hex")),
-        "secret-spans",
-    )
+def secret_spans(documents: DataFrame) -> DataFrame:
+    """doc_id, text_hash, kind, begin, end, begin_byte, end_byte of every span, once for each
+    doc_id and text."""
+    placed = stored(placed_matches(documents), "secret-matches")
+    is_random = F.col("kind") == KINDS.index("random")
     mixed = F.col("value").rlike("[A-Za-z]") & F.col("value").rlike("[0-9]")
-    outside = ~F.exists("base", lambda b: (b["begin"] < F.col("c.end")) & (F.col("c.begin") < b["end"]))
-    candidates = (
-        found.where(F.size("candidates") > 0)
-        .select("doc_id", "text_hash", "base", F.explode("candidates").alias("c"))
-        .select("doc_id", "text_hash", F.col("c.begin").alias("begin"), F.col("c.end").alias("end"), F.col("c.value").alias("value"), outside.alias("outside"))
-        .distinct()
-    )
-    random = (
-        not_rejected(log_chance(candidates))
-        .where(mixed & F.col("outside"))
-        .groupBy(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
-        .agg(F.collect_list(F.struct("begin", F.lit(KINDS.index("random")).alias("kind"), "end")).alias("random"))
-    )
-    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash"))
-    every = F.when(F.col("random").isNull(), F.col("base")).otherwise(F.concat("base", "random"))
-    return found.join(random, same, "left").select(
-        "doc_id",
-        "text_hash",
-        *(F.size(kind).cast("long").alias(f"n_{kind}") for kind in KINDS[:3]),
-        F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
-        joined(every).alias("spans"),
-        every.alias("all_spans"),
-    )
+    # The candidates of one text spread over tasks, and each is tested once.
+    scored = stored(log_chance(placed.where(is_random).repartition("doc_id", "begin")), "secret-scores")
+    random = not_rejected(scored).where(mixed & F.col("free"))
+    columns = ["doc_id", "text_hash", "kind", "begin", "end", "begin_byte", "end_byte"]
+    return placed.where(~is_random).select(*columns).unionByName(random.select(*columns))
 
 
 def report_secrets(documents: DataFrame) -> DataFrame:
-    return scan_secrets(documents).drop("text_hash", "all_spans")
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans: one row for each row."""
+    spans = F.collect_list(F.struct("begin", "kind", "end"))
+    found = secret_spans(documents).groupBy(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).agg(spans.alias("found"))
+    rows = documents.select("doc_id", F.xxhash64("text").alias("text_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash"))
+    every = F.coalesce("found", F.array().cast(found.schema["found"].dataType))
+    of_kind = lambda k: F.size(F.filter("every", lambda s: s["kind"] == k)).cast("long")
+    base = F.filter("every", lambda s: s["kind"] < KINDS.index("random"))
+    return (
+        rows.join(found, same, "left")
+        .withColumn("every", every)
+        .select(
+            "doc_id",
+            *(of_kind(k).alias(f"n_{kind}") for k, kind in enumerate(KINDS[:3])),
+            F.sha2(joined(base), 256).alias("base_sha256"),
+            joined(F.col("every")).alias("spans"),
+        )
+    )
 
 
 def redact_secrets(documents: DataFrame, mark: str = "[secret]") -> DataFrame:
     """Every row with all its columns; secrets in ``text`` become ``mark`` (those that overlap
-    become one), and ``n_chars``, where there is such a column, follows. Null text stays null."""
-    found = scan_secrets(documents).where(F.size("all_spans") > 0).dropDuplicates(["doc_id", "text_hash"])
-    found = found.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "all_spans")
-    span = "array<struct<begin:int,end:int>>"
-    zero = F.array().cast(span)
-    one = lambda s, begin: F.array(F.struct(begin.alias("begin"), s["end"].alias("end")))
-
-    def merge(out, s):
-        last = F.element_at(out, -1)
-        wider = F.array(F.struct(last["begin"].alias("begin"), F.greatest(last["end"], s["end"]).alias("end")))
-        inside = F.slice(out, 1, F.size(out) - 1)
-        return F.when(F.size(out) == 0, one(s, s["begin"])).when(s["begin"] < last["end"], F.concat(inside, wider)).otherwise(F.concat(out, one(s, s["begin"])))
-
-    text = F.col("row.text")
-    merged = F.aggregate(F.array_sort("all_spans"), zero, merge)
-    edges = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    cut = F.aggregate(
-        merged,
-        edges,
-        lambda a, s: F.struct(
-            F.concat(a["out"], F.substring(text, a["at"] + 1, s["begin"] - a["at"]), F.lit(mark)).alias("out"), s["end"].alias("at")
-        ),
-        lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))),
+    become one), and ``n_chars``, where there is such a column, follows. Null text stays null.
+    Texts are cut by byte, so a cut costs the same wherever it lies."""
+    of_text = Window.partitionBy("doc_id", "text_hash").orderBy("begin_byte", "end_byte")
+    before = F.max("end_byte").over(of_text.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.when(before > F.col("begin_byte"), 0).otherwise(1)
+    found = (
+        secret_spans(documents)
+        .withColumn("begins", begins)
+        .withColumn("number", F.sum("begins").over(of_text.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "number")
+        .agg(F.min("begin_byte").alias("begin"), F.max("end_byte").alias("end"))
+        .groupBy("id", "hash")
+        .agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("cuts"))
     )
+    text = F.col("row.text")
+    kept_from = F.concat(F.array(F.lit(0)), F.col("cuts.end"))
+    kept_to = F.concat(F.col("cuts.begin"), F.array(F.octet_length(text)))
+    bounds = F.zip_with(kept_from, kept_to, lambda a, b: F.struct(a.alias("from"), b.alias("to")))
+    # One element, so that the bytes of the text are taken once and not for each piece.
+    piece = lambda whole: lambda p: F.substring(whole, p["from"] + 1, p["to"] - p["from"]).cast("string")
+    clean = F.transform(F.array(text.cast("binary")), lambda whole: F.array_join(F.transform(bounds, piece(whole)), mark))
     rows = documents.select(F.struct(*documents.columns).alias("row"))
     same = F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("row.text") == F.col("hash"))
-    changed = rows.join(found, same, "left").withColumn("clean", F.when(F.col("all_spans").isNull(), text).otherwise(cut))
+    changed = rows.join(found, same, "left").withColumn("clean", F.when(F.col("cuts").isNull(), text).otherwise(F.get(clean, F.lit(0))))
     new = {"text": F.col("clean")}
     if "n_chars" in documents.columns:
         length = F.length("clean").cast(documents.schema["n_chars"].dataType)
-        new["n_chars"] = F.when(F.col("all_spans").isNull(), F.col("row.n_chars")).otherwise(length)
+        new["n_chars"] = F.when(F.col("cuts").isNull(), F.col("row.n_chars")).otherwise(length)
     return changed.select(*(new.get(c, F.col(f"row.`{c}`")).alias(c) for c in documents.columns))
