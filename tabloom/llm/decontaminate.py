@@ -16,6 +16,8 @@ contain nothing. Rows that repeat a doc_id are judged each by its text, equal ro
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 WINDOW = 16
@@ -29,7 +31,12 @@ MASKS = {
     8: [[0, 1, 3, 4], [0, 1, 6, 7], [0, 2, 3, 5]],
     LEAST_WORDS: [[0, 1, 2, 3], [0, 1, 3, 4], [0, 1, 2, 4], [0, 2, 3, 4]],
 }
-BROADCAST_KEYS = 500_000
+# Words before and behind the start of a mask that a passing run around it can reach.
+REACH = WINDOW - 1
+# Places of a text that are handled together, so that no row holds a whole long text.
+PIECE = 64
+# An item's key stands beside 31 hashes, so this many take about 60 MB when broadcast.
+BROADCAST_KEYS = 200_000
 
 
 def word_hashes(text: Column) -> Column:
@@ -52,53 +59,72 @@ def window_keys(words: Column, place: Column, group: int) -> list[Column]:
 
 
 def keyed(rows: DataFrame, groups: list[int]) -> DataFrame:
-    """Every (row, place, key) by the masks of ``groups``; ``words`` stays beside them."""
+    """Every (row, place, key) by the masks of ``groups``. ``n_words`` is the length of the text;
+    of its ``words`` those of one piece stay, from ``base`` on, and ``REACH`` on either side."""
     least = min((len(mask) for group in groups for mask in MASKS[group]), default=LEAST_WORDS)
-    places = rows.where(F.size("words") >= least).withColumn("place", F.explode(F.sequence(F.lit(0), F.size("words") - 1)))
-    keys = [key for group in groups for key in window_keys(F.col("words"), F.col("place"), group)]
+    n_words, first, base = F.col("n_words"), F.col("first"), F.col("base")
+    pieces = rows.withColumn("n_words", F.size("words")).where(n_words >= least)
+    pieces = pieces.withColumn("first", F.explode(F.sequence(F.lit(0), n_words - 1, F.lit(PIECE))))
+    pieces = pieces.withColumn("base", F.greatest(first - REACH, F.lit(0)))
+    pieces = pieces.withColumn("words", F.slice("words", base + 1, F.lit(PIECE + 2 * REACH)))
+    places = pieces.withColumn("place", F.explode(F.sequence(first, F.least(first + PIECE, n_words) - 1)))
+    keys = [key for group in groups for key in window_keys(F.col("words"), F.col("place") - base, group)]
     return places.withColumn("key", F.explode(F.array(*keys).cast("array<bigint>"))).where("key IS NOT NULL")
 
 
-def equal_share(mine: Column, theirs: Column, window: Column) -> Column:
-    """The most equal words in any ``window`` consecutive ones of two aligned lists."""
-    same = F.zip_with(mine, theirs, lambda a, b: F.when(a == b, 1).otherwise(0))
-    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(mine) - window + 1))
-    return F.array_max(F.transform(starts, lambda s: F.aggregate(F.slice(same, s, window), F.lit(0), lambda a, b: a + b)))
+def around(unrolled: bool) -> Column:
+    """The words a run through ``place`` can reach, null beyond the ends of the text. Unrolled it
+    is compiled, for every place of a table; as a loop it leaves the code around it compiled."""
+    word = lambda k: F.get("words", F.col("place") - F.col("base") + k)
+    return F.array(*map(word, range(-REACH, REACH + 1))) if unrolled else F.transform(F.sequence(F.lit(-REACH), F.lit(REACH)), word)
+
+
+def agreement(mine: Column, theirs: Column) -> Column:
+    """Bit k tells whether the k-th words of two lists of ``around`` are equal."""
+    bits = [F.when(F.get(mine, F.lit(k)) == F.get(theirs, F.lit(k)), F.lit(1 << k)).otherwise(F.lit(0)) for k in range(2 * REACH + 1)]
+    return reduce(Column.__add__, bits)
 
 
 def find_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, text_hash, item_id, first_word, end_word: where documents follow an item."""
+    """doc_id, text_hash, item_id, first_word, end_word: where documents follow an item.
+
+    Every passing run of words has a place where keys meet, and all of it lies within
+    ``REACH`` words of that place. So the words around a meeting are compared on the spot,
+    into one number: texts that share a phrase with many items, many times over, make many
+    meetings but few rows that outlive the join. While the keys of the items are few, places
+    without any are left out first and the items are broadcast. Beyond ``BROADCAST_KEYS`` both sides are
+    shuffled by key, each place with the words around it only; a key that stands for much of
+    the data is split by adaptive execution.
+    """
     items = benchmark.where("item_id IS NOT NULL").select("item_id", word_hashes(F.col("text")).alias("words")).distinct()
     items = items.where(F.size("words") >= LEAST_WORDS)
     # At most WINDOW lengths.
     lengths = items.select(F.least(F.size("words"), F.lit(WINDOW)).alias("n")).distinct().collect()
     groups = sorted({mask_group(r["n"]) for r in lengths})
-    item_keys = items.select(F.lit(None).cast("bigint").alias("key"), "item_id", F.lit(0).alias("item_place")).limit(0)
+    theirs = [F.col("n_words").alias("item_words"), F.col("place").alias("item_place"), around(unrolled=True).alias("theirs")]
+    item_keys = keyed(items.limit(0), [LEAST_WORDS]).select("key", "item_id", *theirs)
     for group in groups:
         above = min((least for least in MASKS if least > group), default=None)
         of_group = items.where(F.size("words") >= group) if above is None else items.where(F.size("words").between(group, above - 1))
-        item_keys = item_keys.unionByName(keyed(of_group, [group]).select("key", "item_id", F.col("place").alias("item_place")))
+        item_keys = item_keys.unionByName(keyed(of_group, [group]).select("key", "item_id", *theirs))
     item_keys = item_keys.distinct()
-    small = item_keys.count() <= BROADCAST_KEYS
-    beside = F.broadcast if small else (lambda df: df)
 
     words = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), word_hashes(F.col("text")).alias("words"))
-    hits = keyed(words, groups).join(beside(item_keys), "key")
+    places = keyed(words, groups)
+    small = item_keys.count() <= BROADCAST_KEYS
+    if small:
+        places = places.join(F.broadcast(item_keys.select("key").distinct()), "key", "left_semi")
+    slim = places.select("key", "doc_id", "text_hash", "place", "n_words", around(unrolled=not small).alias("mine"))
+    hits = slim.join(F.broadcast(item_keys), "key") if small else slim.hint("merge").join(item_keys, "key")
+    run = F.least(F.lit(WINDOW), F.col("item_words"))
     shift = F.col("place") - F.col("item_place")
-    described = items.select("item_id", F.col("words").alias("item_words"))
-    low = F.greatest(F.lit(0), -F.col("shift"))
-    aligned = (
-        hits.select("doc_id", "text_hash", "item_id", shift.alias("shift"), "words")
-        .join(beside(described), "item_id")
-        .select("doc_id", "text_hash", "item_id", "item_words", "shift", low.alias("low"), F.slice("words", F.col("shift") + low + 1, F.size("item_words") - low).alias("mine"))
-        .dropDuplicates(["doc_id", "text_hash", "item_id", "shift"])
-    )
-    theirs = F.slice("item_words", F.col("low") + 1, F.size("mine"))
-    window = F.least(F.lit(WINDOW), F.size("item_words"))
-    return aligned.where(equal_share(F.col("mine"), theirs, window) * 100 >= PERCENT * window).select(
-        "doc_id", "text_hash", "item_id", (F.col("shift") + F.col("low")).alias("first_word"),
-        (F.col("shift") + F.col("low") + F.size("mine")).alias("end_word"),
+    likely = hits.withColumn("same", agreement(F.col("mine"), F.col("theirs"))).where(F.bit_count("same") * 100 >= PERCENT * run).select(
+        "doc_id", "text_hash", "item_id", run.alias("run"), F.greatest(F.lit(0), shift).alias("first_word"),
+        F.least(shift + F.col("item_words"), F.col("n_words")).alias("end_word"), "same",
     )
+    windows = [F.bit_count(F.col("same").bitwiseAND(F.lit(((1 << WINDOW) - 1) << k))) for k in range(REACH + 1)]
+    best = likely.groupBy("doc_id", "text_hash", "item_id", "run", "first_word", "end_word").agg(F.max(F.greatest(*windows)).alias("equal"))
+    return best.where(F.col("equal") * 100 >= PERCENT * F.col("run")).select("doc_id", "text_hash", "item_id", "first_word", "end_word")
 
 
 def mark_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:

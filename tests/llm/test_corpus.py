@@ -261,7 +261,9 @@ def plain_leaks(text, items):
     return ",".join(map(str, sorted(hit)))
 
 
-def test_leaks(spark, odd_rows):
+@pytest.mark.parametrize("broadcast_keys", [decontaminate.BROADCAST_KEYS, 0])
+def test_leaks(spark, odd_rows, broadcast_keys, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST_KEYS", broadcast_keys)
     items = [(k, prose(2000 + k, 30, 3000)) for k in range(6)] + [(10, "five small words stand here"), (11, "too short"), (12, None), (None, "x " * 20)]
     rows = [(k, t) for k, (_, t) in enumerate(odd_rows)]
     r = random.Random(9)
@@ -306,6 +308,19 @@ def test_leaks_with_any_allowed_words_changed(spark):
     assert {(r["doc_id"], r["items"]): r["count"] for r in got} == want and want[16, "16"] == 1820
 
 
+@pytest.mark.parametrize("broadcast_keys", [decontaminate.BROADCAST_KEYS, 0])
+def test_leaks_of_a_stem_that_all_items_share(spark, broadcast_keys, monkeypatch):
+    """Every place meets every item; only real leaks make rows. Spans are those of a plain search."""
+    monkeypatch.setattr(decontaminate, "BROADCAST_KEYS", broadcast_keys)
+    stem = "which of the following words names the"
+    items = [(k, f"{stem} thing{k} of kind{k} in place{k} at time{k} with part{k}") for k in range(40)]
+    rows = [(d, f"{stem} item. " * 100 + prose(d, 20)) for d in range(6)] + [(9, f"{stem} item. " * 3 + items[7][1] + " " + items[7][1])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    leaks = decontaminate.find_leaks(frame(spark, rows), bench).collect()
+    size = len(items[7][1].split())
+    assert sorted((r["doc_id"], r["item_id"], r["first_word"], r["end_word"]) for r in leaks) == [(9, 7, 24, 24 + size), (9, 7, 24 + size, 24 + 2 * size)]
+
+
 def test_empty_tables(spark, none):
     bench = spark.createDataFrame([(1, prose(1, 20))], "item_id long, text string")
     assert substring_dedup.remove_repeats(none).count() == 0
