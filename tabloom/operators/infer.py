@@ -55,8 +55,41 @@ def _decide() -> Column:
     )
 
 
-def _observed(cells: DataFrame) -> DataFrame:
-    return cells.withColumn("_kind", value_kind(F.col("value"))).withColumn("_bytes", F.octet_length("value"))
+_FLAGS = ("has_f", "has_t", "has_a", "has_s", "went_back")
+
+
+def _facts(cells: DataFrame, keys: list[str], pos: str) -> DataFrame:
+    """``_summary`` of every group. Empty cells take no part, but an all-empty column still comes out."""
+    observed = cells.withColumn("_kind", value_kind(F.col("value")))
+    seen = F.col("_kind").isNotNull()
+    observed = observed.select(
+        *keys, F.when(seen, F.col(pos)).alias(pos), "_kind", F.when(seen, F.octet_length("value")).alias("_bytes")
+    )
+    return observed.groupBy(*keys).agg(*_summary(pos)).withColumn("went_back", _went_back())
+
+
+def page_facts(cells: DataFrame, keys: list[str], pos: str, page: str) -> DataFrame:
+    """One row for each of ``keys`` and each page, its positions the page's: facts that ``merge_facts`` takes."""
+    at = {x: F.when(F.col(x).isNotNull(), F.col(page)) for x in ("last_number", "first_moment", "last_t", "first_a")}
+    last_page = F.when(F.col("last_bytes").isNotNull(), F.col(page))
+    return _facts(cells, [*keys, page], pos).withColumns({**at, "last_page": last_page}).drop(page)
+
+
+def merge_facts(facts: DataFrame, keys: list[str]) -> DataFrame:
+    """One row of facts for each of ``keys``, from facts of pages or merged ones, in any order and
+    any grouping; no page may be among them twice."""
+    return facts.groupBy(*keys).agg(
+        *[F.max(x).alias(x) for x in (*_FLAGS, "last_number", "last_t", "last_page")],
+        *[F.min(x).alias(x) for x in ("first_moment", "first_a")],
+        F.max_by("last_bytes", "last_page").alias("last_bytes"),
+    )
+
+
+def decide_types(facts: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys`` plus ``type`` of facts that hold each of ``keys`` once."""
+    judged = facts.withColumn("went_back", F.col("went_back") | _went_back())
+    flags = {x: F.coalesce(F.col(x), F.lit(False)) for x in _FLAGS}
+    return judged.withColumns(flags).select(*keys, _decide().alias("type"))
 
 
 def infer_types(cells: DataFrame, keys: list[str], pos: str = "row_idx", outer_pos: str | None = None) -> DataFrame:
@@ -67,26 +100,9 @@ def infer_types(cells: DataFrame, keys: list[str], pos: str = "row_idx", outer_p
     are compared. Both steps combine before the shuffle, so a column that holds
     most of the data sends one small row per task.
     """
-    seen = F.col("_kind").isNotNull()
-    inner = keys + ([outer_pos] if outer_pos else [])
-    # Empty cells take no part, but an all-empty column must still come out.
-    observed = _observed(cells).select(
-        *inner, F.when(seen, F.col(pos)).alias(pos), "_kind", F.when(seen, F.col("_bytes")).alias("_bytes")
-    )
-    facts = observed.groupBy(*inner).agg(*_summary(pos)).withColumn("went_back", _went_back())
     if outer_pos:
-        page = F.col(outer_pos)
-        across = facts.groupBy(*keys).agg(
-            *[F.max(x).alias(x) for x in ("has_f", "has_t", "has_a", "has_s", "went_back")],
-            F.max(F.when(F.col("last_number").isNotNull(), page)).alias("last_number"),
-            F.min(F.when(F.col("first_moment").isNotNull(), page)).alias("first_moment"),
-            F.max(F.when(F.col("last_t").isNotNull(), page)).alias("last_t"),
-            F.min(F.when(F.col("first_a").isNotNull(), page)).alias("first_a"),
-            F.max_by("last_bytes", F.when(F.col("last_bytes").isNotNull(), page)).alias("last_bytes"),
-        )
-        facts = across.withColumn("went_back", F.col("went_back") | _went_back())
-    flags = {x: F.coalesce(F.col(x), F.lit(False)) for x in ("has_f", "has_t", "has_a", "has_s", "went_back")}
-    return facts.withColumns(flags).select(*keys, _decide().alias("type"))
+        return decide_types(merge_facts(page_facts(cells, keys, pos, outer_pos), keys), keys)
+    return decide_types(_facts(cells, keys, pos), keys)
 
 
 def name_columns(tables: DataFrame, keys: list[str]) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tabloom.functions.names import sanitise_name
 from tabloom.operators import ddl, infer
-from tabloom.plans import publish
+from tabloom.plans import growing, publish
 
 LADDER = ["BIGINT", "DOUBLE", "TIMESTAMP", "DATE"]
 SAMPLES = {
@@ -140,3 +140,21 @@ def test_schemas_parse_pages_once(spark, tmp_path):
     spark.createDataFrame(pages, "page_id bigint, html string").write.parquet(str(tmp_path / "pages"))
     tables = extract_tables(spark.read.parquet(str(tmp_path / "pages")))
     assert plan_of(publish.infer_schemas(publish.place_by_page(tables)), "MapInArrow", "ReusedExchange") == [1, 1]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_types_of_pages_in_batches(spark, tmp_path, seed):
+    """Pages in any order and any batches, one batch repeated, columns that come late or stay empty."""
+    r = random.Random(seed)
+    rows = [
+        (k, page, row, r.choice(SAMPLES[r.choice(["", *kinds])]))
+        for k in range(60) for kinds in [r.sample("IFTAS", r.randint(0, 2))] for page in range(k % 5, 9) for row in range(3)
+    ]
+    cells = spark.createDataFrame(rows, "k int, page int, row int, value string")
+    batch_of = {page: r.randrange(4) for page in range(9)}
+    for batch in (0, 1, 1, 2, 3):
+        mine = cells.filter(F.col("page").isin([p for p, b in batch_of.items() if b == batch]))
+        types = growing.absorb_pages(mine, str(tmp_path), batch, ["k"], "row", "page")
+        seen = cells.filter(F.col("page").isin([p for p, b in batch_of.items() if b <= batch]))
+        if batch in (1, 3):
+            assert sorted(types.collect()) == sorted(infer.infer_types(seen, ["k"], "row", "page").collect())

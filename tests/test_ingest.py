@@ -7,7 +7,7 @@ from tabloom.operators import dedupe, envelope, load
 from tabloom.plans import ingest
 from tabloom.sources import jdbc, topic
 from tabloom.sources.tables import BUCKETS, TableStore, bucket
-from tabloom.streaming.ingest import start_ingest
+from tabloom.streaming.ingest import running_totals, start_ingest
 
 
 def message(table, record, columns=(("a", "BIGINT"), ("b", "DATE"))):
@@ -285,3 +285,12 @@ def test_jdbc_column_types():
     assert jdbc.column_types([("order_", "DOUBLE"), ("s", "VARCHAR(512)"), ("x", "TEXT")]) == (
         "`_id` BIGINT, `_row_hash` VARCHAR(64), `order_` DOUBLE, `s` VARCHAR(512), `x` STRING"
     )
+
+
+@pytest.mark.parametrize("block", [1, 3, 4096])
+def test_running_totals_in_blocks(spark, block):
+    rows = [(batch, f"t{k}", 5, batch + k, 1) for batch in (0, 1, 2, 4, 7, 8, 9) for k in range(2)]
+    metrics = spark.createDataFrame(rows, "batch_id long, table_name string, received long, inserted long, rejected long")
+    got = {x["batch_id"]: (x["received"], x["inserted"], x["rejected"], x["total_inserted"]) for x in running_totals(metrics, block).collect()}
+    assert got == {b: (10, 2 * b + 1, 2, sum(2 * c + 1 for c in got if c <= b)) for b in (0, 1, 2, 4, 7, 8, 9)}
+    assert running_totals(metrics.limit(0), block).count() == 0

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from tabloom.operators import ddl, infer
 from tabloom.operators.extract import extract_tables
+from tabloom.plans.growing import absorb_pages
 from tabloom.plans.publish import infer_schemas, place_by_page
 from tabloom.functions.text import clean_value
+from tabloom.session import work_dir
 from workload import fixtures
 from workload.base import Tables, query, sql_fold, sql_kinds
 from workload.fixtures import ORDER_COLUMNS
@@ -67,15 +69,29 @@ def infer_order_sensitivity(t: Tables) -> DataFrame:
     return infer.infer_types(order_cells(t), ["o_custkey"], "o_orderkey")
 
 
-@query(
-    "infer_types_across_pages",
-    f"SELECT o_custkey % 10 AS tbl, {sql_fold('o_orderkey')} AS type FROM {sql_kinds(_ORDER_CELLS, 'o_custkey, o_orderkey')} GROUP BY 1",
+_TYPES_ACROSS_PAGES = (
+    f"SELECT o_custkey % 10 AS tbl, {sql_fold('o_orderkey')} AS type FROM {sql_kinds(_ORDER_CELLS, 'o_custkey, o_orderkey')} GROUP BY 1"
 )
-def infer_types_across_pages(t: Tables) -> DataFrame:
-    cells = order_cells(t).withColumns(
+
+
+def paged_cells(t: Tables) -> DataFrame:
+    return order_cells(t).withColumns(
         {"tbl": F.expr("o_custkey % 10"), "page_id": F.expr("o_orderkey div 100"), "row_idx": F.expr("o_orderkey % 100")}
     )
-    return infer.infer_types(cells, ["tbl"], "row_idx", "page_id")
+
+
+@query("infer_types_across_pages", _TYPES_ACROSS_PAGES)
+def infer_types_across_pages(t: Tables) -> DataFrame:
+    return infer.infer_types(paged_cells(t), ["tbl"], "row_idx", "page_id")
+
+
+@query("infer_incremental", _TYPES_ACROSS_PAGES)
+def infer_incremental(t: Tables) -> DataFrame:
+    """The same pages in three batches out of their order, the second delivered twice; each reads its own pages only."""
+    path = work_dir(t.spark, "facts")
+    for batch in (0, 1, 1, 2):
+        types = absorb_pages(paged_cells(t).filter(F.col("page_id") % 3 == 2 - batch), path, batch, ["tbl"], "row_idx", "page_id")
+    return types
 
 
 _COLUMN_VALUES = ", ".join(f"({i}, '{n}', '{d}')" for i, (n, d) in enumerate(ORDER_COLUMNS))
