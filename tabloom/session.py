@@ -15,6 +15,8 @@ def configure(spark: SparkSession) -> SparkSession:
     # The JVM interprets methods above 8000 bytes for ever. Parsing expressions fused
     # into one stage exceed that; run operator by operator, they are compiled.
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    # A Python worker holds a batch and what it makes of it; rows here are whole pages and tables, not numbers.
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     return spark
 
 
