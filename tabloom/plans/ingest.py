@@ -41,6 +41,13 @@ def _staged(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _dealt(messages: DataFrame) -> DataFrame:
+    """Messages over all cores. Few, large files would be decoded and sorted by as many tasks; counting splits
+    does not tell, as a file of one row group is cut into splits of which one has all rows."""
+    cores = messages.sparkSession.sparkContext.defaultParallelism
+    return messages.repartition(max(cores, messages.rdd.getNumPartitions()), "partition", "offset", "value")
+
+
 def skip_stored(records: DataFrame, store: TableStore) -> DataFrame:
     """Records (table_name, _row_hash, ``_bucket``) that no earlier batch has stored. Only tables that
     existed before the batch can hold one, and of the key index only their folders are read."""
@@ -88,7 +95,7 @@ def ingest_batch(messages: DataFrame, batch_id: int, store: TableStore, stage_pa
     batch = f"{run}-{batch_id}"
     if store.committed(batch):
         return
-    decoded = decode_messages(with_positions(messages))
+    decoded = decode_messages(_dealt(with_positions(messages)))
     decoded = decoded.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value")))
     staged = _staged(decoded.select("value", "partition", "offset", "schema", "record", "reason"), f"{stage_path}/decoded")
     good = well_formed(staged)
