@@ -1,11 +1,13 @@
 """N-gram Jaccard join by a prefix tree: near-duplicate documents and their components.
 
-A document is the set of its distinct word n-grams, each a 64-bit hash. Sets are ordered
-by one global order: hashes that stand early in many sets come last, the others by value.
-Two sets of similarity t share one of their first ``n - ceil(t n) + 1`` entries, so sets
-meet in blocks, one for each entry there that two sets or more have; entries with the same
-sets share one. A block beyond ``block_sets`` is cut into slices, and every two slices meet
-in a block of their own, so no task holds more and no pair is lost.
+A document is the set of its distinct word n-grams, each a 64-bit hash. Ranges of hashes
+cut a set into parts, more of them than two similar sets can differ in entries. So similar
+sets have some parts that are wholly equal, and meet in blocks, one for each part that two
+sets or more have; parts with the same sets share one. Of the parts a set may leave out as
+many as there are beyond the least; it leaves out those with the fewest entries that are
+not common. What sets share here and there, like frequent phrases, makes no block. A block
+beyond ``block_sets`` is cut into slices, and every two slices meet in a block of their own,
+so no task holds more and no pair is lost.
 
 A set first brings only its size and the counts of its entries by hash class. Differences
 of these counts bound the overlap of two sets; who has no possible partner in a block
@@ -30,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabloom.llm.common import (
     LOWER, byte_class, find_words, lists, mix, prefix_sums, row_bounds, shingles, signed, slices, span_hash, stored,
@@ -43,6 +45,7 @@ PERCENT = 90
 BLOCK_SETS = 2048
 COMMON_SETS = 64
 COMMON_ENTRIES = 1_000_000
+COUNTED_TOGETHER = 1 << 20
 ORDERS = 2
 LEAST_CLASSES = 64
 ENTRIES_A_CLASS = 16
@@ -67,41 +70,72 @@ def row_key() -> Column:
     return F.xxhash64("doc_id", F.col("doc_id").isNull(), "text", F.col("text").isNull()).alias("row_key")
 
 
-def prefix_length(n: int, percent: int) -> int:
-    return n + (-percent * n) // 100 + 1
-
-
-def common_entries(documents: DataFrame, size: int, percent: int, limit: int = COMMON_ENTRIES) -> np.ndarray:
-    """Hashes that stand in the first places of many documents, sorted. At most ``limit``:
-    what is asked of an entry grows with the number of entries counted. A task reports the
-    entries it meets more than once. Any order joins the same; this one makes blocks small."""
+def most_apart(n: int, percent: int) -> int:
+    """How many entries two similar sets of ``n`` entries together can have that the other lacks."""
+    return n * (100 - percent) // (100 + percent)
+
+
+def part_keys(entries: np.ndarray, common: np.ndarray, percent: int) -> np.ndarray:
+    """Keys of parts of a set: similar sets that are not equal share at least one.
+
+    The size of the larger set, up to a power of two, fixes the parts; the smaller one may
+    lie below it and has keys for both. With sizes n and m at most ``most_apart(n + m)``
+    parts differ. Any order of the parts by their content alone serves: the last of the equal
+    parts of two sets is left out by neither."""
+    n = len(entries)
+    largest = 100 * n // percent
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(entries)])
+    rare = ~is_among(entries, common)
+    keys = [np.empty(0, np.uint64)]
+    top = 1
+    while top < n:
+        top *= 2
+    while n and top < 2 * largest:
+        differ = most_apart(n + min(top, largest), percent)
+        if differ:
+            most = most_apart(2 * top, percent)
+            parts = most + 2 + most // 4
+            part = ((entries >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+            edges = np.searchsorted(part, np.arange(parts + 1))
+            key = mix(sums[edges[1:]] - sums[edges[:-1]] + mix(np.arange(parts, dtype=np.uint64) + np.uint64(top << 32)))
+            weight = np.minimum(np.bincount(part, weights=rare, minlength=parts), 255).astype(np.uint64)
+            keys.append(key[np.argsort(weight << np.uint64(56) | key >> np.uint64(8))[-differ - 1 :]])
+        top *= 2
+    return np.concatenate(keys)
+
+
+def is_among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    if not len(ordered):
+        return np.zeros(len(values), bool)
+    return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
+
+
+def common_entries(documents: DataFrame, size: int, limit: int = COMMON_ENTRIES) -> np.ndarray:
+    """Hashes that stand in many documents, sorted. At most ``limit``: what is asked of an
+    entry grows with the number of entries counted. A task reports the entries it meets more
+    than once among those it counts together. Any choice joins the same; this one makes blocks small."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entry, n, parts, waiting = np.empty(0, np.uint64), np.empty(0, np.int64), [], 0
+        held, waiting = [], 0
 
-        def merge() -> None:
-            nonlocal entry, n, waiting
-            every = np.concatenate([entry, *parts])
-            weight = np.concatenate([n, np.ones(len(every) - len(entry), np.int64)])
-            entry, inverse = np.unique(every, return_inverse=True)
-            n = np.bincount(inverse, weights=weight, minlength=len(entry)).astype(np.int64)
-            parts.clear()
-            waiting = 0
+        def repeated() -> pa.RecordBatch:
+            entry, n = np.unique(np.concatenate([np.empty(0, np.uint64), *held]), return_counts=True)
+            return pa.record_batch([signed(entry[n > 1]), pa.array(n[n > 1])], names=["entry", "n"])
 
         for batch in batches:
             for _, _, data, offsets in slices(batch.column(0)):
-                first = [s[: prefix_length(len(s), percent)] for s in document_sets(data, offsets, size) if len(s)]
-                parts += first
-                waiting += sum(map(len, first))
-                if waiting > 1 << 20:
-                    merge()
-        merge()
-        yield pa.record_batch([signed(entry[n > 1]), pa.array(n[n > 1])], names=["entry", "n"])
+                sets = list(document_sets(data, offsets, size))
+                held += sets
+                waiting += sum(map(len, sets))
+                if waiting > COUNTED_TOGETHER:
+                    yield repeated()
+                    held, waiting = [], 0
+        yield repeated()
 
     counts = documents.select("text").mapInArrow(count, "entry long, n long").groupBy("entry").agg(F.sum("n").alias("n"))
-    counts = stored(counts, "entry-counts")
+    counts = stored(counts.where(F.col("n") >= COMMON_SETS), "entry-counts")
     total = counts.agg(F.sum("n")).first()[0] or 0
-    common = counts.where(F.col("n") >= max(COMMON_SETS, -(-total // limit))).select("entry").toArrow()
+    common = counts.where(F.col("n") >= -(-total // limit)).select("entry").toArrow()
     return np.sort(common.column(0).to_numpy().astype(np.int64).view(np.uint64))
 
 
@@ -123,31 +157,35 @@ def fold(counts: np.ndarray, classes: int) -> np.ndarray:
 
 
 def describe(documents: DataFrame, common: np.ndarray, size: int, percent: int) -> DataFrame:
-    """doc_id, row_key, n, node, first entries of the ordered set, smallest hash under each order, class counts."""
+    """doc_id, row_key, n, node, keys of its parts (of equal sets one of a task at least has
+    them), smallest hash under each order, class counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             for at, end, data, offsets in slices(batch.column(1)):
                 sets = list(document_sets(data, offsets, size))
-                first, least = [], []
+                nodes, keys, least = [], [], []
                 for s in sets:
-                    late = np.isin(s, common, assume_unique=True) if len(common) else np.zeros(len(s), bool)
-                    first.append(np.concatenate([s[~late], s[late]])[: prefix_length(len(s), percent)] if len(s) else s)
+                    node = set_key(s) if len(s) else None
+                    nodes.append(node)
+                    keys.append(np.empty(0, np.uint64) if node in seen else part_keys(s, common, percent))
+                    seen.add(node)
                     least.append([mix(s ^ np.uint64(k + 1)).min() for k in range(ORDERS)] if len(s) else [])
-                bounds = np.concatenate([[0], np.cumsum([len(f) for f in first])])
+                bounds = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
                 least_bounds = np.concatenate([[0], np.cumsum([len(k) for k in least])])
                 columns = [
                     batch.column(0).slice(at, end - at),
                     batch.column(2).slice(at, end - at),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([set_key(s) if len(s) else None for s in sets], pa.int64()),
-                    lists(signed(np.concatenate(first)), bounds),
+                    pa.array(nodes, pa.int64()),
+                    lists(signed(np.concatenate(keys)), bounds),
                     lists(signed(np.array(sum(least, []), np.uint64)), least_bounds),
                     pa.array([class_counts(s) for s in sets], pa.binary()),
                 ]
-                yield pa.record_batch(columns, names=["doc_id", "row_key", "n", "node", "first", "least", "classes"])
+                yield pa.record_batch(columns, names=["doc_id", "row_key", "n", "node", "keys", "least", "classes"])
 
-    schema = "doc_id long, row_key long, n long, node long, first array<long>, least array<long>, classes binary"
+    schema = "doc_id long, row_key long, n long, node long, keys array<long>, least array<long>, classes binary"
     return documents.select("doc_id", "text", row_key()).mapInArrow(run, schema)
 
 
@@ -268,12 +306,12 @@ def same_members(members: DataFrame) -> DataFrame:
 
 def label_documents(documents: DataFrame, size: int, percent: int, block_sets: int = BLOCK_SETS) -> DataFrame:
     """doc_id, row_key, n_shingles, component: a node of the component, null without shingles."""
-    common = common_entries(documents, size, percent)
+    common = common_entries(documents, size)
     described = stored(describe(documents, common, size, percent), "sets")
-    entries = described.select(F.explode("first").alias("entry"), "node")
-    # Copies of one set count too; what only they share makes no block below.
-    shared = entries.groupBy("entry").agg(F.count("*").alias("places")).where("places > 1").select("entry")
-    members = stored(entries.join(shared, "entry").distinct(), "entry-sets")
+    entries = described.select(F.explode("keys").alias("entry"), "node")
+    of_entry = Window.partitionBy("entry")
+    shared = entries.withColumns({"low": F.min("node").over(of_entry), "high": F.max("node").over(of_entry)}).where("low <> high")
+    members = stored(shared.select("entry", "node").distinct(), "entry-sets")
     meeting = members.select("node").distinct()
     facts = described.join(meeting, "node", "left_semi").groupBy("node").agg(F.first("n").alias("n"), F.first("classes").alias("classes"))
     facts = stored(facts, "set-facts")

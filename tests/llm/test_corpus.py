@@ -105,6 +105,50 @@ def test_ngram_join(spark, odd_rows, block_sets, monkeypatch):
         assert sorted(map(tuple, got), key=str) == plain_components(rows, size, percent)
 
 
+@pytest.mark.parametrize("percent", [50, 80, 90, 95])
+def test_similar_sets_share_a_part(percent):
+    rng = np.random.default_rng(percent)
+    tested = 0
+    for _ in range(1500):
+        a = np.unique(rng.integers(0, 1 << 64, rng.choice([rng.integers(1, 40), rng.integers(1, 700)]), dtype=np.uint64))
+        most = len(a) * (100 - percent) // 100 + 1
+        b = a[np.sort(rng.permutation(len(a))[min(len(a) - 1, rng.integers(0, most + 1)) :])]
+        b = np.unique(np.concatenate([b, rng.integers(0, 1 << 64, rng.integers(0, most + 1), dtype=np.uint64)]))
+        both = len(np.intersect1d(a, b))
+        if np.array_equal(a, b) or 100 * both < percent * (len(a) + len(b) - both):
+            continue
+        common = np.sort(rng.choice(a, rng.integers(0, len(a) + 1), replace=False))
+        assert len(np.intersect1d(*(ngram_join.part_keys(x, common, percent) for x in (a, b))))
+        tested += 1
+    assert tested > 150
+
+
+def test_what_texts_share_here_and_there_makes_no_block(spark, monkeypatch):
+    """Texts that have a quarter of their words in phrases of others, no two of them alike: few
+    go on to be compared, however many meet the same phrase."""
+    r = random.Random(8)
+    phrases = [" ".join(f"p{k}w{i}" for i in range(8)) for k in range(30)]
+    rows = []
+    for k in range(60):
+        parts = r.sample(phrases, 5) + [" ".join(f"d{k}x{j}y{i}" for i in range(8)) for j in range(15)]
+        r.shuffle(parts)
+        rows.append((k, " ".join(parts)))
+    rows += [(100, rows[0][1] + " end"), (101, rows[1][1]), (102, rows[1][1])]
+    met = {}
+
+    def kept(df, label, stored=ngram_join.stored):
+        out = stored(df, label)
+        if label == "set-facts":
+            met["sets"] = out.count()
+        return out
+
+    monkeypatch.setattr(ngram_join, "stored", kept)
+    for size, percent in ((3, 90), (5, 80)):
+        got = ngram_join.join_documents(frame(spark, rows), size, percent).collect()
+        assert sorted(map(tuple, got), key=str) == plain_components(rows, size, percent)
+        assert 2 <= met["sets"] <= 20
+
+
 def test_one_of_each(odd, odd_rows):
     kept = ngram_join.one_of_each(odd)
     assert kept.columns == odd.columns
