@@ -18,3 +18,10 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield configure(session)
     session.stop()
+
+
+@pytest.fixture(autouse=True)
+def settings(request):
+    """Each test starts with the session's settings, whatever queries of others have set."""
+    if "spark" in request.fixturenames:
+        configure(request.getfixturevalue("spark"))
